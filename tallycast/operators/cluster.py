@@ -18,9 +18,11 @@ aggregate over the feature rows, and only the k centres live on the driver.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.util import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -34,6 +36,7 @@ ALGORITHMS = ("kmeans", "bisecting")
 DEFAULT_KS = (2, 3, 4, 5)
 DEFAULT_MAX_ITER = 20
 DEFAULT_KMEANS_SEED = 42
+DEFAULT_PARALLELISM = 4
 
 
 def vectorize(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -123,36 +126,41 @@ def cluster_sweep(
     max_iter: int = DEFAULT_MAX_ITER,
     seed: int | None = None,
     features_col: str = "features",
+    parallelism: int = DEFAULT_PARALLELISM,
 ) -> DataFrame:
     """Fit every (algorithm, k) and return one row per (algorithm, k, input row) (M7).
 
     Columns: algorithm, k, ``keep``..., cluster, cost (training cost), wssse
-    (cost of the whole input under the model). Training runs now; the returned
-    frame is lazy.
+    (cost of the whole input under the model). Training runs now, up to
+    ``parallelism`` models at a time (each fit is its own series of Spark jobs,
+    as in ``CrossValidator``); the returned frame is lazy.
     """
     spark = features.sparkSession
     checkpoint_dir(spark)
     data = features.select(*keep, features_col).checkpoint(eager=True)
     data.persist(StorageLevel.MEMORY_AND_DISK)
+    grid = [(algo, k) for algo in algorithms for k in ks]
+
+    def fit(item):
+        algo, k = item
+        return algo, k, estimator(algo, k, max_iter, seed, features_col, "cluster").fit(data)
+
     try:
-        fitted = []
-        pieces = []
-        for algo in algorithms:
-            for k in ks:
-                model = estimator(algo, k, max_iter, seed, features_col, "cluster").fit(data)
-                fitted.append((algo, k, model))
-                pieces.append(
-                    model.transform(data).select(
-                        F.lit(algo).alias("algorithm"),
-                        F.lit(k).cast("int").alias("k"),
-                        *keep,
-                        features_col,
-                        F.col("cluster").cast("int").alias("cluster"),
-                        F.lit(float(model.summary.trainingCost)).alias("cost"),
-                    )
-                )
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
+            fitted = list(pool.map(inheritable_thread_target(spark)(fit), grid))
     finally:
         data.unpersist()
+    pieces = [
+        model.transform(data).select(
+            F.lit(algo).alias("algorithm"),
+            F.lit(k).cast("int").alias("k"),
+            *keep,
+            features_col,
+            F.col("cluster").cast("int").alias("cluster"),
+            F.lit(float(model.summary.trainingCost)).alias("cost"),
+        )
+        for algo, k, model in fitted
+    ]
     assigned = reduce(DataFrame.unionByName, pieces)
     costs = assignment_cost(assigned, centre_table(spark, fitted), features_col=features_col)
     return assigned.join(F.broadcast(costs), ["algorithm", "k"]).select(

@@ -28,9 +28,26 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """``{base}/{name}.parquet`` as a DataFrame."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+# Declared schemas of the warehouse tables the pipelines read. Declaring them
+# skips schema inference, which otherwise runs a footer-reading job per read.
+# Only the declared columns are visible; other tables fall back to inference.
+WAREHOUSE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "region": "r_regionkey int, r_name string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
+def table(spark: SparkSession, base: str, name: str, infer: bool = False) -> DataFrame:
+    """``{base}/{name}.parquet`` as a DataFrame, with its declared schema when known."""
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    ddl = None if infer else WAREHOUSE_SCHEMAS.get(name)
+    reader = spark.read.schema(ddl) if ddl else spark.read
+    return reader.parquet(path)
 
 
 def _date_lit(d: dt.date) -> F.Column:
