@@ -25,11 +25,20 @@ def monthly_trends(
     ``banded`` is (area, obs_date, band, total) with possibly several rows per
     day (one per supplier); they are summed to one value per day first, so the
     fit sees daily totals. x is the day offset from the month's first day.
+
+    The rows are hash-partitioned once by (month, band): the daily merge, the
+    fit and the later ranking per (month, band) all group by supersets of it,
+    so none of them shuffles again. The input is already one row per
+    (area, day, band, supplier), so a (month, band) partition holds at most
+    areas x 31 x suppliers rows however large the raw data is.
     """
-    daily = merge_rows(in_range(banded, "obs_date", start, end), ["obs_date", *keys], "total")
-    with_x = daily.withColumn("month", month_start("obs_date")).withColumn(
-        "x", day_offset("obs_date", "month")
+    rows = (
+        in_range(banded, "obs_date", start, end)
+        .withColumn("month", month_start("obs_date"))
+        .repartition("month", keys[-1])
     )
+    daily = merge_rows(rows, ["month", "obs_date", *keys], "total")
+    with_x = daily.withColumn("x", day_offset("obs_date", "month"))
     return linear_trend(with_x, ["month", *keys], "x", "total")
 
 
@@ -53,9 +62,11 @@ def next_month_top_k(
     two days forecast 0; negative forecasts are kept.
     """
     fc = next_month_forecasts(monthly_trends(banded, start, end))
+    # ranked per (month, band): same groups as (next_month, band), and already
+    # partitioned that way by monthly_trends
     ranked = top_k(
         fc,
-        ["next_month", "band"],
+        ["month", "band"],
         [F.col("forecast").desc(), F.col("area").asc()],
         k,
     )
