@@ -36,6 +36,20 @@ ALGORITHMS = ("kmeans", "bisecting")
 DEFAULT_KS = (2, 3, 4, 5)
 DEFAULT_MAX_ITER = 20
 DEFAULT_KMEANS_SEED = 42
+
+
+def _java_string_hash(s: str) -> int:
+    """``String.hashCode`` of the JVM (deterministic, unlike Python's ``hash``)."""
+    h = 0
+    for ch in s:
+        h = (31 * h + ord(ch)) & 0xFFFFFFFF
+    return h - (1 << 32) if h >= 1 << 31 else h
+
+
+# The JVM library's own default seed for bisecting k-means (hash of its class
+# name). PySpark's default is Python's per-process randomised string hash, so
+# it is pinned here to keep runs reproducible.
+DEFAULT_BISECTING_SEED = _java_string_hash("org.apache.spark.mllib.clustering.BisectingKMeans")
 DEFAULT_PARALLELISM = 4
 
 
@@ -60,8 +74,8 @@ def estimator(
     """The estimator for ``algorithm`` (M2, M3, M8).
 
     ``kmeans`` uses k-means|| initialisation and a fixed default seed so runs
-    repeat. ``bisecting`` keeps the library's defaults (its seed included), as
-    the original did; ``max_iter`` applies to both.
+    repeat. ``bisecting`` keeps the library's defaults, as the original did,
+    with the seed pinned to the JVM library default; ``max_iter`` applies to both.
     """
     if algorithm == "kmeans":
         est = KMeans(
@@ -73,10 +87,12 @@ def estimator(
         )
     elif algorithm == "bisecting":
         est = BisectingKMeans(
-            k=k, maxIter=max_iter, featuresCol=features_col, predictionCol=prediction_col
+            k=k,
+            maxIter=max_iter,
+            seed=DEFAULT_BISECTING_SEED if seed is None else seed,
+            featuresCol=features_col,
+            predictionCol=prediction_col,
         )
-        if seed is not None:
-            est = est.setSeed(seed)
     else:
         raise ValueError(f"algorithm must be one of {ALGORITHMS}, got {algorithm!r}")
     return est
@@ -118,6 +134,27 @@ def assignment_cost(
     )
 
 
+def model_cost(
+    model,
+    df: DataFrame,
+    features_col: str = "features",
+    name: str = "wssse",
+) -> DataFrame:
+    """One-row frame: WSSSE of ``df`` under a fitted model (M1, M6; ``computeCost``).
+
+    ``model.transform`` assigns each row, then ``assignment_cost`` sums the
+    squared distances to the model's centres (k rows, broadcast).
+    """
+    spark = df.sparkSession
+    pred = model.getPredictionCol()
+    assigned = model.transform(df).select(
+        F.lit("model").alias("algorithm"), F.lit(0).alias("k"), features_col,
+        F.col(pred).cast("int").alias("cluster"),
+    )
+    centres = centre_table(spark, [("model", 0, model)])
+    return assignment_cost(assigned, centres, features_col=features_col, name=name).select(name)
+
+
 def cluster_sweep(
     features: DataFrame,
     keep: Sequence[str],

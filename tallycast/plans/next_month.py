@@ -26,19 +26,15 @@ def monthly_trends(
     day (one per supplier); they are summed to one value per day first, so the
     fit sees daily totals. x is the day offset from the month's first day.
 
-    The rows are hash-partitioned once by (month, band): the daily merge, the
-    fit and the later ranking per (month, band) all group by supersets of it,
-    so none of them shuffles again. The input is already one row per
-    (area, day, band, supplier), so a (month, band) partition holds at most
-    areas x 31 x suppliers rows however large the raw data is.
+    Supplier rows are merged first (partial aggregation in every map task, so a
+    hot key ships one row per task). The merged daily rows -- at most
+    areas x days x bands, however large the raw feed -- are then
+    hash-partitioned once by (month, band): the fit and the later ranking per
+    (month, band) group by supersets of it, so neither shuffles again.
     """
-    rows = (
-        in_range(banded, "obs_date", start, end)
-        .withColumn("month", month_start("obs_date"))
-        .repartition("month", keys[-1])
-    )
-    daily = merge_rows(rows, ["month", "obs_date", *keys], "total")
-    with_x = daily.withColumn("x", day_offset("obs_date", "month"))
+    daily = merge_rows(in_range(banded, "obs_date", start, end), ["obs_date", *keys], "total")
+    rows = daily.withColumn("month", month_start("obs_date")).repartition("month", keys[-1])
+    with_x = rows.withColumn("x", day_offset("obs_date", "month"))
     return linear_trend(with_x, ["month", *keys], "x", "total")
 
 

@@ -101,3 +101,17 @@ def test_vector_sweep_on_embeddings(spark):
     per_model = out.groupBy("algorithm").agg(F.first("cost").alias("c"), F.first("wssse").alias("w")).collect()
     for r in per_model:
         assert r.w == pytest.approx(r.c, rel=1e-6)
+
+
+def test_model_cost_on_new_data(spark, shares):
+    from tallycast.operators.cluster import estimator, vectorize
+
+    feats = vectorize(shares, ["ratio"])
+    model = estimator("bisecting", 3).fit(feats)
+    got = cluster.model_cost(model, feats).first().wssse
+    assert got == pytest.approx(model.summary.trainingCost, rel=1e-9)
+    # cost of points the model never saw: squared distance to the nearest centre
+    other = vectorize(spark.createDataFrame([("x", 0.5), ("y", 0.7)], "area string, ratio double"), ["ratio"])
+    centres = [c[0] for c in model.clusterCenters()]
+    expect = sum(min((v - c) ** 2 for c in centres) for v in (0.5, 0.7))
+    assert cluster.model_cost(model, other).first().wssse == pytest.approx(expect, rel=1e-12)
