@@ -4,7 +4,6 @@ from tallycast.sources import schemas
 from tallycast.sources.csv import bind_columns, ddl_fields, read_csv, read_csv_with_rejects
 from tallycast.sources.tables import (
     TABLES,
-    area_customers,
     daily_totals_table,
     embedding_features,
     population_table,
@@ -15,7 +14,6 @@ from tallycast.sources.tables import (
 
 __all__ = [
     "TABLES",
-    "area_customers",
     "bind_columns",
     "daily_totals_table",
     "ddl_fields",

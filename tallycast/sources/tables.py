@@ -68,15 +68,23 @@ def _timestamp_bounds(orders: DataFrame, start: dt.date | None, end: dt.date | N
     return orders.filter(cond)
 
 
-def area_customers(spark: SparkSession, base: str) -> DataFrame:
-    """customer -> (c_custkey, area, band). nation is a fixed 25-row dimension."""
-    nation = table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+def _nation(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+
+
+def _orders_by_area(spark: SparkSession, base: str, orders: DataFrame, keep: list[str]) -> DataFrame:
+    """orders joined to the customer's nation and segment.
+
+    orders is joined to customer first (the one large join: broadcast only when
+    customer passes the size check, otherwise sort-merge with AQE splitting
+    skewed keys), then to the fixed 25-row nation table (broadcast).
+    """
     customer = table(spark, base, "customer").select(
         "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("band")
     )
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", "area", "band"
-    )
+    with_cust = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    nation = _nation(spark, base)
+    return with_cust.join(nation, with_cust.c_nationkey == nation.n_nationkey).select("area", *keep)
 
 
 def supplier_rows(
@@ -94,7 +102,7 @@ def supplier_rows(
         F.col("o_orderdate").cast("date").alias("obs_date"),
         F.col("o_orderpriority").alias("supplier"),
     )
-    joined = orders.join(area_customers(spark, base), orders.o_custkey == F.col("c_custkey"))
+    joined = _orders_by_area(spark, base, orders, ["obs_date", "band", "supplier"])
     return joined.groupBy("area", "obs_date", "band", "supplier").agg(
         F.count(F.lit(1)).alias("total")
     )
@@ -110,20 +118,20 @@ def daily_totals_table(
     orders = _timestamp_bounds(table(spark, base, "orders"), start, end).select(
         "o_custkey", F.col("o_orderdate").cast("date").alias("obs_date")
     )
-    joined = orders.join(area_customers(spark, base), orders.o_custkey == F.col("c_custkey"))
+    joined = _orders_by_area(spark, base, orders, ["obs_date"])
     return joined.groupBy("area", "obs_date").agg(F.count(F.lit(1)).alias("total"))
 
 
 def units_table(spark: SparkSession, base: str) -> DataFrame:
     """(area, unit): one row per supplier, placed in its nation."""
-    nation = table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+    nation = _nation(spark, base)
     supplier = table(spark, base, "supplier").select("s_nationkey", F.col("s_name").alias("unit"))
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select("area", "unit")
 
 
 def population_table(spark: SparkSession, base: str, per_customer: int = 10) -> DataFrame:
     """(area, population): customers per nation times ``per_customer``."""
-    nation = table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+    nation = _nation(spark, base)
     per_nation = (
         table(spark, base, "customer")
         .groupBy("c_nationkey")
