@@ -164,6 +164,7 @@ def cluster_sweep(
     seed: int | None = None,
     features_col: str = "features",
     parallelism: int = DEFAULT_PARALLELISM,
+    cut_lineage: bool = True,
 ) -> DataFrame:
     """Fit every (algorithm, k) and return one row per (algorithm, k, input row) (M7).
 
@@ -171,11 +172,18 @@ def cluster_sweep(
     (cost of the whole input under the model). Training runs now, up to
     ``parallelism`` models at a time (each fit is its own series of Spark jobs,
     as in ``CrossValidator``); the returned frame is lazy.
+
+    ``cut_lineage`` checkpoints the features first -- worth it when they come
+    out of joins and aggregations; for a plain projection of a stored table
+    (``False``) recomputing a lost partition is just a re-read.
     """
     spark = features.sparkSession
-    checkpoint_dir(spark)
-    data = features.select(*keep, features_col).checkpoint(eager=True)
+    data = features.select(*keep, features_col)
+    if cut_lineage:
+        checkpoint_dir(spark)
+        data = data.checkpoint(eager=True)
     data.persist(StorageLevel.MEMORY_AND_DISK)
+    data.count()  # materialise once, before the concurrent fits read it
     grid = [(algo, k) for algo in algorithms for k in ks]
 
     def fit(item):

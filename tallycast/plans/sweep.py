@@ -25,9 +25,13 @@ def share_segments(
     key: str = "area",
     value: str = "ratio",
 ) -> DataFrame:
-    """(algorithm, k, area, ratio, cluster, cost, wssse) from a per-area share table."""
+    """(algorithm, k, area, ratio, cluster, cost, wssse) from a per-area share table.
+
+    The shares come out of the whole forecast pipeline, so the features are
+    checkpointed before training (a lost executor re-reads them).
+    """
     features = vectorize(shares.select(key, value), [value])
-    return cluster_sweep(features, [key, value], ks, algorithms, max_iter, seed)
+    return cluster_sweep(features, [key, value], ks, algorithms, max_iter, seed, cut_lineage=True)
 
 
 def vector_segments(
@@ -39,6 +43,10 @@ def vector_segments(
     max_iter: int = DEFAULT_MAX_ITER,
     seed: int | None = None,
 ) -> DataFrame:
-    """The same sweep over any-width vectors given as ``array<double>``."""
+    """The same sweep over any-width vectors given as ``array<double>``.
+
+    The vectors are a projection of a stored table: they are cached for the
+    training passes but not copied into a checkpoint.
+    """
     features = vectorize_array(vectors.select(id_col, array_col), array_col)
-    return cluster_sweep(features, [id_col], ks, algorithms, max_iter, seed)
+    return cluster_sweep(features, [id_col], ks, algorithms, max_iter, seed, cut_lineage=False)
