@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame building blocks of the pipelines."""
 
-from tallycast.operators import aggregates, cluster, filters, rank, trend
+from tallycast.operators import aggregates, cluster, filters, joins, rank, trend
 
-__all__ = ["aggregates", "cluster", "filters", "rank", "trend"]
+__all__ = ["aggregates", "cluster", "filters", "joins", "rank", "trend"]

@@ -1,0 +1,36 @@
+"""Joins with a checked broadcast side.
+
+A table is broadcast only after its size is proven: ``broadcast_if_small``
+counts at most ``max_rows + 1`` rows (for a parquet scan this reads footer row
+counts only). Beyond the bound the plain join is returned, and Catalyst/AQE
+choose the strategy from sizes -- sort-merge with skew splitting for large
+sides. Used for dimensions such as the area table, so that joining a large
+fact table to a 25-valued key never shuffles the fact rows onto 25 partitions,
+whatever the session's auto-broadcast threshold is.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+DIMENSION_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else ``df``."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_dimension(
+    fact: DataFrame,
+    dimension: DataFrame,
+    on: str | Sequence[str] | Column,
+    how: str = "inner",
+    max_rows: int = DIMENSION_MAX_ROWS,
+) -> DataFrame:
+    """``fact`` joined to a dimension that is broadcast when proven small."""
+    return fact.join(broadcast_if_small(dimension, max_rows), on, how)

@@ -22,6 +22,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallycast.operators.joins import broadcast_if_small
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -69,15 +71,19 @@ def _timestamp_bounds(orders: DataFrame, start: dt.date | None, end: dt.date | N
 
 
 def _nation(spark: SparkSession, base: str) -> DataFrame:
-    return table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+    """The area dimension, broadcast once its size is checked."""
+    return broadcast_if_small(
+        table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+    )
 
 
 def _orders_by_area(spark: SparkSession, base: str, orders: DataFrame, keep: list[str]) -> DataFrame:
     """orders joined to the customer's nation and segment.
 
     orders is joined to customer first (the one large join: broadcast only when
-    customer passes the size check, otherwise sort-merge with AQE splitting
-    skewed keys), then to the fixed 25-row nation table (broadcast).
+    customer passes the planner's size check, otherwise sort-merge with AQE
+    splitting skewed keys), then to the area dimension (broadcast after a row
+    count check, so the joined rows never shuffle on a 25-valued key).
     """
     customer = table(spark, base, "customer").select(
         "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("band")
