@@ -18,11 +18,16 @@ from pyspark.sql import functions as F
 
 DIMENSION_MAX_ROWS = 100_000
 
+# (application id, plan hash, bound) -> proven small; a plan is counted once per session
+_checked: dict[tuple[str, int, int], bool] = {}
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _checked[key] else df
 
 
 def join_dimension(
