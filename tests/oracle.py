@@ -63,8 +63,25 @@ def duck_rows(con, sql):
     return cols, res.fetchall()
 
 
+SPARK_TO_DUCKDB = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "date": "DATE", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(spark_df, con, sql) -> dict:
+    spark_types = {c: SPARK_TO_DUCKDB.get(t, t) for c, t in spark_df.dtypes}
+    rel = con.sql(sql)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (spark_types.get(c), duck_types.get(c))
+            for c in set(spark_types) | set(duck_types) if spark_types.get(c) != duck_types.get(c)}
+
+
 def compare(spark_df, con, sql) -> list[str]:
     """Empty list when equal, else human-readable differences."""
+    types = type_differences(spark_df, con, sql)
+    if types:
+        return [f"column types differ (spark, duckdb): {types}"]
     sc, sr = normalise(*spark_rows(spark_df))
     dc, dr = normalise(*duck_rows(con, sql))
     problems = []
