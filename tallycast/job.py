@@ -1,9 +1,9 @@
 """The batch job: read the four feeds, run Q1, Q2, Q3 and write keyed results.
 
-Each result is written twice from the same plan -- as a headerless CSV
-directory with the composite ``row_key`` (the original export format) and as a
-keyed parquet table -- after checking that the keys are unique. Everything is
-lazy until the writes; the clustering step trains its models when Q3 is built.
+Each result is computed once into a keyed parquet table; its keys are checked
+for uniqueness and the headerless CSV export (the original format, composite
+``row_key``) is written from that table. Everything is lazy until the writes;
+the clustering step trains its models when Q3 is built.
 """
 
 from __future__ import annotations
@@ -79,10 +79,14 @@ def query3(spark: SparkSession, inputs: Inputs, p: Params) -> DataFrame:
 
 
 def _save(df: DataFrame, out: str, name: str) -> None:
-    if duplicate_keys(df).limit(1).count() > 0:
-        raise ValueError(f"{name}: duplicate row keys")
-    write_csv(df, f"{out.rstrip('/')}/{name}", header=False)
-    df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}.parquet")
+    """Compute the result once into the keyed parquet table, then check the keys
+    and export the CSV from the written table (not from the upstream plan)."""
+    base = out.rstrip("/")
+    df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+    written = df.sparkSession.read.parquet(f"{base}/{name}.parquet")
+    if duplicate_keys(written).limit(1).count() > 0:
+        raise ValueError(f"{name}: duplicate row keys in {base}/{name}.parquet")
+    write_csv(written, f"{base}/{name}", header=False)
 
 
 def run_job(spark: SparkSession, inputs: Inputs, out: str, params: Params | None = None) -> None:
