@@ -61,6 +61,13 @@ def main() -> None:
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "runs": runs,
+        "conf": {k: spark.conf.get(k) for k in (
+            "spark.sql.shuffle.partitions",
+            "spark.sql.adaptive.enabled",
+            "spark.sql.adaptive.skewJoin.enabled",
+            "spark.sql.autoBroadcastJoinThreshold",
+        )},
+        "timing": "median of runs after one warm-up; plan build + noop write",
     }))
     spark.stop()
 

@@ -165,6 +165,7 @@ def cluster_sweep(
     features_col: str = "features",
     parallelism: int = DEFAULT_PARALLELISM,
     cut_lineage: bool = True,
+    restarts: int = 1,
 ) -> DataFrame:
     """Fit every (algorithm, k) and return one row per (algorithm, k, input row) (M7).
 
@@ -176,6 +177,10 @@ def cluster_sweep(
     ``cut_lineage`` checkpoints the features first -- worth it when they come
     out of joins and aggregations; for a plain projection of a stored table
     (``False``) recomputing a lost partition is just a re-read.
+
+    ``restarts`` > 1 fits k-means from that many seeds (``seed``, ``seed + 1``,
+    ...) and keeps the model with the lowest training cost per k; k-means only
+    finds a local optimum from any one start.
     """
     spark = features.sparkSession
     data = features.select(*keep, features_col)
@@ -184,17 +189,29 @@ def cluster_sweep(
         data = data.checkpoint(eager=True)
     data.persist(StorageLevel.MEMORY_AND_DISK)
     data.count()  # materialise once, before the concurrent fits read it
-    grid = [(algo, k) for algo in algorithms for k in ks]
+    base_seed = DEFAULT_KMEANS_SEED if seed is None else seed
+    grid = [
+        (algo, k, base_seed + r if algo == "kmeans" else seed)
+        for algo in algorithms
+        for k in ks
+        for r in range(restarts if algo == "kmeans" else 1)
+    ]
 
     def fit(item):
-        algo, k = item
-        return algo, k, estimator(algo, k, max_iter, seed, features_col, "cluster").fit(data)
+        algo, k, s = item
+        return algo, k, estimator(algo, k, max_iter, s, features_col, "cluster").fit(data)
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
-            fitted = list(pool.map(inheritable_thread_target(spark)(fit), grid))
+            candidates = list(pool.map(inheritable_thread_target(spark)(fit), grid))
     finally:
         data.unpersist()
+    best: dict[tuple[str, int], object] = {}
+    for algo, k, model in candidates:  # grid order: ties keep the first seed
+        key = (algo, k)
+        if key not in best or model.summary.trainingCost < best[key].summary.trainingCost:
+            best[key] = model
+    fitted = [(algo, k, model) for (algo, k), model in best.items()]
     pieces = [
         model.transform(data).select(
             F.lit(algo).alias("algorithm"),

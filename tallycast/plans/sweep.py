@@ -24,6 +24,7 @@ def share_segments(
     seed: int | None = None,
     key: str = "area",
     value: str = "ratio",
+    restarts: int = 1,
 ) -> DataFrame:
     """(algorithm, k, area, ratio, cluster, cost, wssse) from a per-area share table.
 
@@ -31,7 +32,9 @@ def share_segments(
     checkpointed before training (a lost executor re-reads them).
     """
     features = vectorize(shares.select(key, value), [value])
-    return cluster_sweep(features, [key, value], ks, algorithms, max_iter, seed, cut_lineage=True)
+    return cluster_sweep(
+        features, [key, value], ks, algorithms, max_iter, seed, cut_lineage=True, restarts=restarts
+    )
 
 
 def vector_segments(

@@ -115,3 +115,12 @@ def test_model_cost_on_new_data(spark, shares):
     centres = [c[0] for c in model.clusterCenters()]
     expect = sum(min((v - c) ** 2 for c in centres) for v in (0.5, 0.7))
     assert cluster.model_cost(model, other).first().wssse == pytest.approx(expect, rel=1e-12)
+
+
+def test_kmeans_restarts_keep_the_best_seed(spark, shares):
+    one = {r.k: r.cost for r in share_segments(shares, algorithms=["kmeans"]).select("k", "cost").distinct().collect()}
+    many = {r.k: r.cost for r in share_segments(shares, algorithms=["kmeans"], restarts=4)
+            .select("k", "cost").distinct().collect()}
+    for k in (2, 3, 4, 5):
+        assert many[k] <= one[k] + 1e-15
+        assert many[k] >= KMEANS_OPTIMUM[k] - 1e-12

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from fixtures import PUBLISHED_SHARES, Q1_DAILY, Q1_UNITS, Q2_ROWS
+from fixtures import Q1_DAILY, Q1_UNITS, Q2_ROWS
 from tallycast.job import Inputs, Params, run_job
 from tallycast.session import scratch_path
 from tallycast.sinks import read_csv_dir
