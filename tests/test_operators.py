@@ -80,3 +80,26 @@ def test_nest_and_position(spark):
     big = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(6)
     pos = rank.with_position(big, [F.col("v").desc()]).collect()
     assert sorted((r.position, r.v) for r in pos) == [(i + 1, 4999 - i) for i in range(5000)]
+
+
+def test_date_filters_boundaries(spark):
+    from tallycast.operators import filters
+
+    days = [dt.date(2020, 12, 31), dt.date(2021, 1, 1), dt.date(2021, 2, 1), dt.date(2021, 5, 31),
+            dt.date(2021, 6, 1), dt.date(2021, 12, 31), dt.date(2022, 1, 1)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = lambda f: sorted(r.d for r in f.collect())
+    assert got(filters.in_year(df, "d", 2021)) == days[1:6]
+    assert got(filters.on_or_after(df, "d", dt.date(2021, 2, 1))) == days[2:]
+    assert got(filters.before(df, "d", dt.date(2021, 6, 1))) == days[:4]
+    assert got(filters.in_range(df, "d", dt.date(2021, 2, 1), dt.date(2021, 6, 1))) == days[2:4]
+    text = spark.createDataFrame([("2021-03-04",), ("2020-12-31",)], "s string")
+    assert [r.s for r in filters.text_contains(text, "s", "2021").collect()] == ["2021-03-04"]
+
+
+def test_sum_count_and_mean(spark):
+    df = spark.createDataFrame([("a", 1, 10), ("a", 1, 21), ("a", 2, 7), ("b", 1, 5)], "k string, m int, v long")
+    out = {(r.k, r.m): (r.total, r.n_days, r.mean) for r in agg.mean_from(agg.sum_and_count(df, ["k", "m"], "v")).collect()}
+    assert out == {("a", 1): (31, 2, 15.5), ("a", 2): (7, 1, 7.0), ("b", 1): (5, 1, 5.0)}
+    merged = {(r.k, r.m): r.v for r in agg.merge_rows(df, ["k", "m"], "v").collect()}
+    assert merged == {("a", 1): 31, ("a", 2): 7, ("b", 1): 5}

@@ -76,3 +76,10 @@ def test_keyed_export_and_uniqueness(spark):
     assert duplicate_keys(dup).count() == 2
     with pytest.raises(ValueError):
         write_keyed(dup, scratch_path(spark, "dup"))
+
+
+def test_rejects_with_header(spark, tmp_path):
+    path = _write(tmp_path, "h.csv", "area,population\nABR,1285256\nBAS,n/a\n")
+    good, bad = read_csv_with_rejects(spark, path, schemas.POPULATION, header=True)
+    assert [(r.area, r.population) for r in good.collect()] == [("ABR", 1285256)]
+    assert [(r.area, r.population) for r in bad.collect()] == [("BAS", "n/a")]
