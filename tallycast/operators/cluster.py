@@ -201,6 +201,9 @@ def cluster_sweep(
         algo, k, s = item
         return algo, k, estimator(algo, k, max_iter, s, features_col, "cluster").fit(data)
 
+    # longest fits first (bisecting runs max_iter iterations per split, more
+    # splits for larger k), so the pool does not end on one long straggler
+    grid.sort(key=lambda g: (g[0] != "bisecting", -g[1]))
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
             candidates = list(pool.map(inheritable_thread_target(spark)(fit), grid))
