@@ -41,6 +41,8 @@ def build_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TALLYCAST_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoints (sweep features, ordered positions) are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
