@@ -5,7 +5,7 @@ Headerless CSV files bind names by position, so the DDL order is the file order.
 
 from __future__ import annotations
 
-# One row per service unit (vaccination centre in the original feed).
+# One row per service unit.
 UNITS = "area string, unit string"
 # One row per (area, date): total count of the day.
 DAILY = "area string, obs_date date, total bigint"
