@@ -88,3 +88,26 @@ KMEANS_OPTIMUM = {
     5: 0.0005174257256494953,
 }
 KMEANS_WORST = {2: 0.007954420872908256, 3: 0.003236, 4: 0.001277, 5: 0.001196}
+
+# Published cluster of each area (in PUBLISHED_SHARES order) and the
+# published WSSSE, per (algorithm, k).
+PUBLISHED_ASSIGNMENTS = {
+    ("kmeans", 2): [1, 0, 0, 0, 0, 0, 0, 0, 0, 1, 0, 0, 1, 0, 0, 0, 0, 0, 0, 0],
+    ("kmeans", 3): [0, 0, 0, 0, 0, 1, 0, 1, 0, 2, 0, 0, 2, 1, 1, 0, 0, 0, 0, 0],
+    ("kmeans", 4): [0, 0, 0, 3, 3, 3, 0, 1, 0, 2, 0, 0, 2, 1, 3, 0, 0, 0, 0, 0],
+    ("kmeans", 5): [2, 3, 3, 0, 0, 0, 3, 1, 3, 2, 3, 3, 2, 4, 0, 3, 3, 3, 3, 3],
+    ("bisecting", 2): [1, 1, 1, 0, 0, 0, 1, 0, 1, 1, 1, 1, 1, 0, 0, 1, 1, 1, 1, 1],
+    ("bisecting", 3): [2, 1, 1, 0, 0, 0, 1, 0, 1, 2, 1, 1, 2, 0, 0, 1, 1, 1, 1, 1],
+    ("bisecting", 4): [3, 2, 2, 1, 1, 1, 2, 0, 2, 3, 2, 2, 3, 0, 1, 2, 2, 2, 2, 2],
+    ("bisecting", 5): [4, 2, 2, 1, 1, 1, 2, 0, 3, 4, 3, 2, 4, 0, 1, 3, 2, 3, 2, 3],
+}
+PUBLISHED_WSSSE = {
+    ("kmeans", 2): 0.007954420872908256,
+    ("kmeans", 3): 0.002213041919344839,
+    ("kmeans", 4): 0.0011787806097392334,
+    ("kmeans", 5): 0.001195990507640404,
+    ("bisecting", 2): 0.005486895554529109,
+    ("bisecting", 3): 0.002832521304225552,
+    ("bisecting", 4): 0.0012770218767734628,
+    ("bisecting", 5): 8.873167943305849e-4,
+}

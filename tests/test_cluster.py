@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import BISECTING_COST, BISECTING_SIZES, KMEANS_OPTIMUM, KMEANS_WORST, PUBLISHED_SHARES
+from fixtures import (
+    BISECTING_COST, BISECTING_SIZES, KMEANS_OPTIMUM, KMEANS_WORST, PUBLISHED_ASSIGNMENTS, PUBLISHED_SHARES,
+    PUBLISHED_WSSSE,
+)
 from tallycast.operators import cluster
 from tallycast.plans import share_segments
 
@@ -124,3 +127,20 @@ def test_kmeans_restarts_keep_the_best_seed(spark, shares):
     for k in (2, 3, 4, 5):
         assert many[k] <= one[k] + 1e-15
         assert many[k] >= KMEANS_OPTIMUM[k] - 1e-12
+
+
+def test_label_cost_reproduces_published_wssse(spark):
+    rows = [
+        (f"{algo}::{k}::{cl}", [share])
+        for (algo, k), clusters in PUBLISHED_ASSIGNMENTS.items()
+        for (_, share), cl in zip(PUBLISHED_SHARES, clusters)
+    ]
+    df = spark.createDataFrame(rows, "label string, v array<double>")
+    per_label = cluster.label_cost(df, "v", "label")
+    per_model = (
+        per_label.withColumn("model", F.substring_index("label", "::", 2))
+        .groupBy("model").agg(F.sum("wssse").alias("wssse")).collect()
+    )
+    got = {tuple(r.model.split("::")): r.wssse for r in per_model}
+    for (algo, k), wssse in PUBLISHED_WSSSE.items():
+        assert got[(algo, str(k))] == pytest.approx(wssse, rel=1e-9, abs=1e-14)
