@@ -17,8 +17,6 @@ columns, pushes date predicates into the orders scan, and sizes the joins.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,24 +50,6 @@ def table(spark: SparkSession, base: str, name: str, infer: bool = False) -> Dat
     return reader.parquet(path)
 
 
-def _date_lit(d: dt.date) -> F.Column:
-    return F.lit(d).cast("date")
-
-
-def _timestamp_bounds(orders: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
-    if start is None and end is None:
-        return orders
-    # the column is timestamp or timestamp_ntz depending on the writer; compare
-    # in its own type so the bound reaches the parquet reader as a pushed filter
-    ts_type = dict(orders.dtypes)["o_orderdate"]
-    cond = F.lit(True)
-    if start is not None:
-        cond = cond & (F.col("o_orderdate") >= _date_lit(start).cast(ts_type))
-    if end is not None:
-        cond = cond & (F.col("o_orderdate") < _date_lit(end).cast(ts_type))
-    return orders.filter(cond)
-
-
 def _nation(spark: SparkSession, base: str) -> DataFrame:
     """The area dimension, broadcast once its size is checked."""
     return broadcast_if_small(
@@ -93,17 +73,13 @@ def _orders_by_area(spark: SparkSession, base: str, orders: DataFrame, keep: lis
     return with_cust.join(nation, with_cust.c_nationkey == nation.n_nationkey).select("area", *keep)
 
 
-def supplier_rows(
-    spark: SparkSession,
-    base: str,
-    start: dt.date | None = None,
-    end: dt.date | None = None,
-) -> DataFrame:
+def supplier_rows(spark: SparkSession, base: str) -> DataFrame:
     """(area, obs_date, band, supplier, total): the per-supplier banded counts.
 
-    ``start``/``end`` bound the order date (end exclusive) inside the scan.
+    Date ranges applied later on ``obs_date`` (a cast of the order timestamp)
+    are rewritten by Catalyst into timestamp bounds pushed into the orders scan.
     """
-    orders = _timestamp_bounds(table(spark, base, "orders"), start, end).select(
+    orders = table(spark, base, "orders").select(
         "o_custkey",
         F.col("o_orderdate").cast("date").alias("obs_date"),
         F.col("o_orderpriority").alias("supplier"),
@@ -114,14 +90,9 @@ def supplier_rows(
     )
 
 
-def daily_totals_table(
-    spark: SparkSession,
-    base: str,
-    start: dt.date | None = None,
-    end: dt.date | None = None,
-) -> DataFrame:
+def daily_totals_table(spark: SparkSession, base: str) -> DataFrame:
     """(area, obs_date, total): one row per area and day, all bands and suppliers."""
-    orders = _timestamp_bounds(table(spark, base, "orders"), start, end).select(
+    orders = table(spark, base, "orders").select(
         "o_custkey", F.col("o_orderdate").cast("date").alias("obs_date")
     )
     joined = _orders_by_area(spark, base, orders, ["obs_date"])
