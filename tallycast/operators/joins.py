@@ -24,7 +24,7 @@ _checked: dict[tuple[str, int, int], bool] = {}
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else ``df``."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (df.sparkSession.conf.get("spark.app.id", ""), df.semanticHash(), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _checked[key] else df
