@@ -55,8 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses the session's checkpoint directory (``spark.checkpoint.dir`` or one set
-    on the context). Only when none is configured -- local mode, tests -- a
-    fresh folder is created and registered, so ``DataFrame.checkpoint`` works.
+    on the context). Only when none is configured and the master is local
+    (tests, single-machine runs) is a fresh local folder created and
+    registered; on a cluster a machine-local folder would not be shared, so an
+    unset directory is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +71,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster (e.g. on the distributed file system)"
+            )
         configured = tempfile.mkdtemp(prefix="tallycast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
