@@ -1,4 +1,5 @@
-"""The batch job: read the four feeds, run Q1, Q2, Q3 and write keyed results.
+"""The batch job: read the four feeds, run Q1, Q2, Q3 and write keyed results
+(plus the per-k comparison of the two clustering algorithms).
 
 Each result is computed once into a keyed parquet table; its keys are checked
 for uniqueness and the headerless CSV export (the original format, composite
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.functions.keys import row_key
-from tallycast.operators.cluster import ALGORITHMS, DEFAULT_KS
+from tallycast.operators.cluster import ALGORITHMS, DEFAULT_KS, compare
 from tallycast.plans import daily_mean_per_unit, forecast_total_share, next_month_top_k, share_segments
 from tallycast.sinks import duplicate_keys, write_csv
 from tallycast.sources import read_csv, schemas
@@ -67,15 +68,20 @@ def query2(spark: SparkSession, inputs: Inputs, p: Params) -> DataFrame:
     )
 
 
-def query3(spark: SparkSession, inputs: Inputs, p: Params) -> DataFrame:
-    """(row_key 'algorithm::k::area', cost, wssse, ratio, cluster) -- share and segments."""
+def query3(spark: SparkSession, inputs: Inputs, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Share and segments: (row_key 'algorithm::k::area', cost, wssse, ratio, cluster),
+    and the per-model comparison (row_key 'algorithm::k', cost, wssse, clusters_used, rows, rank_in_k)."""
     daily = read_csv(spark, inputs.daily, schemas.DAILY)
     population = read_csv(spark, inputs.population, schemas.POPULATION, header=inputs.population_header)
     shares = forecast_total_share(daily, population, p.cutoff)
     sweep = share_segments(shares, ks=p.ks, algorithms=p.algorithms)
-    return sweep.select(
+    rows = sweep.select(
         row_key("algorithm", "k", "area").alias("row_key"), "cost", "wssse", "ratio", "cluster"
     )
+    comparison = compare(sweep).select(
+        row_key("algorithm", "k").alias("row_key"), "cost", "wssse", "clusters_used", "rows", "rank_in_k"
+    )
+    return rows, comparison
 
 
 def _save(df: DataFrame, out: str, name: str) -> None:
@@ -92,8 +98,11 @@ def _save(df: DataFrame, out: str, name: str) -> None:
 def run_job(spark: SparkSession, inputs: Inputs, out: str, params: Params | None = None) -> None:
     """Run Q1, Q2 and Q3 in sequence and write each under ``out``."""
     p = params or Params()
-    for name, build in (("query1", query1), ("query2", query2), ("query3", query3)):
-        _save(build(spark, inputs, p), out, name)
+    _save(query1(spark, inputs, p), out, "query1")
+    _save(query2(spark, inputs, p), out, "query2")
+    rows, comparison = query3(spark, inputs, p)
+    _save(rows, out, "query3")
+    _save(comparison, out, "query3_comparison")
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -34,3 +34,5 @@ def test_run_job(spark, tmp_path):
     q3 = spark.read.parquet(f"{out}/query3.parquet")
     assert q3.count() == 2 * 3  # two algorithms x one k x three areas
     assert q3.select("row_key").distinct().count() == q3.count()
+    cmp = {r.row_key: r.rank_in_k for r in spark.read.parquet(f"{out}/query3_comparison.parquet").collect()}
+    assert set(cmp) == {"kmeans::2", "bisecting::2"} and sorted(cmp.values()) == [1, 2]
