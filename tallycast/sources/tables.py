@@ -42,8 +42,19 @@ WAREHOUSE_SCHEMAS = {
 }
 
 
+CATALOG_PREFIX = "catalog:"
+
+
 def table(spark: SparkSession, base: str, name: str, infer: bool = False) -> DataFrame:
-    """``{base}/{name}.parquet`` as a DataFrame, with its declared schema when known."""
+    """``{base}/{name}.parquet`` as a DataFrame, with its declared schema when known.
+
+    ``base = "catalog:<database>"`` reads the catalog table ``<database>.<name>``
+    instead -- e.g. orders and customer stored bucketed by customer key
+    (``sinks.write_bucketed``), whose join then needs no shuffle.
+    """
+    if base.startswith(CATALOG_PREFIX):
+        database = base[len(CATALOG_PREFIX):]
+        return spark.table(f"{database}.{name}" if database else name)
     path = f"{base.rstrip('/')}/{name}.parquet"
     ddl = None if infer else WAREHOUSE_SCHEMAS.get(name)
     reader = spark.read.schema(ddl) if ddl else spark.read

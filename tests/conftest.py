@@ -17,7 +17,10 @@ def spark():
     session = build_session(
         master="local[*]",
         shuffle_partitions=8,
-        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallycast-test-ckpt-")},
+        extra={
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallycast-test-ckpt-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tallycast-test-warehouse-"),
+        },
     )
     yield session
     session.stop()
