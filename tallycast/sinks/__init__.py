@@ -80,6 +80,10 @@ def write_bucketed(
     that is joined on every run -- orders to customer by customer key -- pays
     the shuffle once, at write time. ``path`` places the files (shared storage
     on a cluster); otherwise the session's warehouse folder is used.
+
+    Trade-off: a bucketed join has no shuffle for AQE to split, so a key that
+    holds a large share of the rows stays in one bucket (one task). For such
+    keys keep the unbucketed layout, where AQE's skew join splits the partition.
     """
     writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
     if path:
