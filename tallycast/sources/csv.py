@@ -12,17 +12,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DATE_FORMAT = "yyyy-MM-dd"
 
 
 def ddl_fields(ddl: str) -> list[tuple[str, str]]:
-    """``"a string, b date"`` -> ``[("a", "string"), ("b", "date")]`` (flat schemas only)."""
-    fields = []
-    for part in ddl.split(","):
-        name, dtype = part.strip().split(None, 1)
-        fields.append((name, dtype.strip()))
-    return fields
+    """``"a string, b date"`` -> ``[("a", "string"), ("b", "date")]`` via Spark's DDL parser."""
+    return [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(ddl).fields]
 
 
 def read_csv(

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallycast.functions.dates import month_start
 from tallycast.session import checkpoint_dir
-from tallycast.sources.csv import DATE_FORMAT
+from tallycast.sources.csv import DATE_FORMAT, ddl_fields
 
 
 def feed_stream(
@@ -75,5 +75,4 @@ def ingest(
 
 def read_ingested(spark: SparkSession, table_dir: str, ddl: str) -> DataFrame:
     """The ingested table with its declared columns (partition column ``month`` dropped)."""
-    cols = [part.strip().split()[0] for part in ddl.split(",")]
-    return spark.read.parquet(table_dir).select(*cols)
+    return spark.read.parquet(table_dir).select(*[name for name, _ in ddl_fields(ddl)])
