@@ -1,8 +1,9 @@
 """Incremental ingest of feed drops (S1 as a file stream).
 
 New CSV files landing in a folder are parsed with the feed's declared schema
-and appended to a parquet table partitioned by month, so the pipelines' date
-ranges prune whole partitions. Several drops may repeat a key (area, day,
+and appended to a parquet table partitioned by month; ``read_ingested`` turns
+a date range into a predicate on the partition column, so only the months in
+range are listed and read. Several drops may repeat a key (area, day,
 band, supplier); the pipelines sum rows per key (``merge_rows``), so appended
 deltas add up correctly without rewriting the table.
 
@@ -12,13 +13,14 @@ restarted or failed run resumes from the last committed file set.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallycast.functions.dates import month_start
+from tallycast.functions.dates import date_lit, month_start
 from tallycast.session import checkpoint_dir
 from tallycast.sources.csv import DATE_FORMAT, ddl_fields
 
@@ -73,6 +75,22 @@ def ingest(
     return writer.start()
 
 
-def read_ingested(spark: SparkSession, table_dir: str, ddl: str) -> DataFrame:
-    """The ingested table with its declared columns (partition column ``month`` dropped)."""
-    return spark.read.parquet(table_dir).select(*[name for name, _ in ddl_fields(ddl)])
+def read_ingested(
+    spark: SparkSession,
+    table_dir: str,
+    ddl: str,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    date_col: str = "obs_date",
+) -> DataFrame:
+    """The ingested table with its declared columns (partition column dropped).
+
+    ``start``/``end`` (end exclusive) filter ``date_col`` and, derived from
+    them, the ``month`` partition column -- the latter prunes partitions.
+    """
+    df = spark.read.parquet(table_dir)
+    if start is not None:
+        df = df.filter((F.col("month") >= month_start(date_lit(start))) & (F.col(date_col) >= date_lit(start)))
+    if end is not None:
+        df = df.filter((F.col("month") <= month_start(date_lit(end))) & (F.col(date_col) < date_lit(end)))
+    return df.select(*[name for name, _ in ddl_fields(ddl)])

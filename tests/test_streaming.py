@@ -27,3 +27,30 @@ def test_ingest_appends_drops_and_resumes(spark, tmp_path):
     # month partitions prune a date range
     march = spark.read.parquet(table_dir).filter("month = date'2021-03-01'")
     assert march.count() == 3
+
+
+def test_pipeline_over_ingested_daily_feed(spark, tmp_path):
+    import contextlib
+    import io
+
+    from fixtures import Q1_DAILY, Q1_EXPECTED, Q1_UNITS
+    from tallycast.plans import daily_mean_per_unit
+
+    src = tmp_path / "daily"
+    src.mkdir()
+    # two drops; the pipeline sees their union
+    (src / "1.csv").write_text("".join(f"{a},{d},{t}\n" for a, d, t in Q1_DAILY[:3]))
+    (src / "2.csv").write_text("".join(f"{a},{d},{t}\n" for a, d, t in Q1_DAILY[3:]))
+    table_dir = scratch_path(spark, "daily-table")
+    ingest(spark, str(src), schemas.DAILY, table_dir).awaitTermination()
+    daily = read_ingested(spark, table_dir, schemas.DAILY, dt.date(2021, 1, 1), dt.date(2022, 1, 1))
+    units = spark.createDataFrame(Q1_UNITS, schemas.UNITS)
+    out = daily_mean_per_unit(daily, units, 2021)
+    assert {(r.area, r.month): r.mean_per_unit for r in out.collect()} == Q1_EXPECTED
+    # the year range prunes the month partitions of other years
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(month" in plan and "month#" in plan
+    assert spark.read.parquet(table_dir).select("month").distinct().count() == 3  # 2020-12, 2021-01, 2021-02
