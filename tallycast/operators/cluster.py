@@ -9,7 +9,8 @@ aggregate over the feature rows, and only the k centres live on the driver.
   cached while the models train.
 * ``assignment_cost`` is WSSSE as a plain aggregate: rows joined to their
   centre, squared distance summed per model. The centre table has one row per
-  (model, cluster), bounded by the grid, so it is broadcast.
+  (model, cluster), bounded by the grid, so it is broadcast; the sweep runs it
+  once for all models while the features are cached.
 * ``label_cost`` is the cost of an existing assignment (clusters = labels, centre =
   mean of the members), computed in one pass from per-label variances: no join,
   no shuffle of raw rows.
@@ -172,7 +173,8 @@ def cluster_sweep(
     Columns: algorithm, k, ``keep``..., cluster, cost (training cost), wssse
     (cost of the whole input under the model). Training runs now, up to
     ``parallelism`` models at a time (each fit is its own series of Spark jobs,
-    as in ``CrossValidator``); the returned frame is lazy.
+    as in ``CrossValidator``), and the WSSSE of all models is one aggregate job
+    over the cached features; the returned rows are lazy, one pass per model.
 
     ``cut_lineage`` checkpoints the features first -- worth it when they come
     out of joins and aggregations; for a plain projection of a stored table
@@ -207,30 +209,38 @@ def cluster_sweep(
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
             candidates = list(pool.map(inheritable_thread_target(spark)(fit), grid))
+        best: dict[tuple[str, int], object] = {}
+        for algo, k, model in candidates:  # grid order: ties keep the first seed
+            key = (algo, k)
+            if key not in best or model.summary.trainingCost < best[key].summary.trainingCost:
+                best[key] = model
+        fitted = [(algo, k, model) for (algo, k), model in best.items()]
+
+        def assign(algo, k, model):
+            return model.transform(data).select(
+                F.lit(algo).alias("algorithm"),
+                F.lit(k).cast("int").alias("k"),
+                *keep,
+                features_col,
+                F.col("cluster").cast("int").alias("cluster"),
+            )
+
+        # WSSSE of every model in one job over the cached features; the result
+        # has one row per model (bounded by the grid)
+        assigned = reduce(DataFrame.unionByName, [assign(a, k, m) for a, k, m in fitted])
+        costs = assignment_cost(assigned, centre_table(spark, fitted), features_col=features_col)
+        wssse = {(r.algorithm, r.k): r.wssse for r in costs.collect()}
     finally:
         data.unpersist()
-    best: dict[tuple[str, int], object] = {}
-    for algo, k, model in candidates:  # grid order: ties keep the first seed
-        key = (algo, k)
-        if key not in best or model.summary.trainingCost < best[key].summary.trainingCost:
-            best[key] = model
-    fitted = [(algo, k, model) for (algo, k), model in best.items()]
     pieces = [
-        model.transform(data).select(
-            F.lit(algo).alias("algorithm"),
-            F.lit(k).cast("int").alias("k"),
-            *keep,
-            features_col,
-            F.col("cluster").cast("int").alias("cluster"),
+        assign(algo, k, model).select(
+            "algorithm", "k", *keep, "cluster",
             F.lit(float(model.summary.trainingCost)).alias("cost"),
+            F.lit(float(wssse[(algo, k)])).alias("wssse"),
         )
         for algo, k, model in fitted
     ]
-    assigned = reduce(DataFrame.unionByName, pieces)
-    costs = assignment_cost(assigned, centre_table(spark, fitted), features_col=features_col)
-    return assigned.join(F.broadcast(costs), ["algorithm", "k"]).select(
-        "algorithm", "k", *keep, "cluster", "cost", "wssse"
-    )
+    return reduce(DataFrame.unionByName, pieces)
 
 
 def compare(sweep: DataFrame) -> DataFrame:
