@@ -2,7 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (default 3). Prints one JSON line; per-query values are the median
-wall time over the runs, after one warm-up run of each query.
+wall time over the runs, taken interleaved after one warm-up pass over all queries.
 """
 
 from __future__ import annotations
@@ -48,10 +48,13 @@ def main() -> None:
         shuffle_partitions=cpus,
         extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallycast-bench-")},
     )
-    results = {}
-    for name, fn in BENCH.items():
-        run_once(spark, fn, base)  # warm-up: JIT, file listing, broadcast setup
-        results[name] = round(statistics.median(run_once(spark, fn, base) for _ in range(runs)), 3)
+    for fn in BENCH.values():  # warm-up pass: JIT, class loading, file listing
+        run_once(spark, fn, base)
+    times: dict[str, list[float]] = {name: [] for name in BENCH}
+    for _ in range(runs):  # interleaved, so drift and GC do not pile onto one query
+        for name, fn in BENCH.items():
+            times[name].append(run_once(spark, fn, base))
+    results = {name: round(statistics.median(ts), 3) for name, ts in times.items()}
     m = re.search(r"sf([0-9.]+)", base)
     print(json.dumps({
         "metric": "q1_q2_q3_total_median_wall",
@@ -67,7 +70,7 @@ def main() -> None:
             "spark.sql.adaptive.skewJoin.enabled",
             "spark.sql.autoBroadcastJoinThreshold",
         )},
-        "timing": "median of runs after one warm-up; plan build + noop write",
+        "timing": "median of interleaved runs after a warm-up pass; plan build + noop write",
     }))
     spark.stop()
 
