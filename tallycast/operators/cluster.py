@@ -106,15 +106,22 @@ def squared_distance(a: Column, b: Column) -> Column:
 
 
 def centre_table(spark, fitted: Iterable[tuple[str, int, object]]) -> DataFrame:
-    """(algorithm, k, cluster, centre array<double>) for fitted models (k rows each)."""
+    """(algorithm, k, cluster, centre array<double>) for fitted models (k rows each).
+
+    Built from literals (``inline`` of an array of structs), so the few centre
+    rows never go through Python worker processes.
+    """
     rows = [
-        (algo, int(k), int(i), [float(v) for v in centre])
+        F.struct(
+            F.lit(algo).alias("algorithm"),
+            F.lit(int(k)).alias("k"),
+            F.lit(int(i)).alias("cluster"),
+            F.array(*[F.lit(float(v)) for v in centre]).cast("array<double>").alias("centre"),
+        )
         for algo, k, model in fitted
         for i, centre in enumerate(model.clusterCenters())
     ]
-    return spark.createDataFrame(
-        rows, "algorithm string, k int, cluster int, centre array<double>"
-    )
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def assignment_cost(

@@ -43,6 +43,9 @@ def build_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # checkpoints (sweep features, ordered positions) are removed once unreferenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # keep generated code of recurring plans: the clustering sweeps compile many
+        # distinct plans, which would evict the pipelines' classes from a 100-entry cache
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
