@@ -144,3 +144,13 @@ def test_label_cost_reproduces_published_wssse(spark):
     got = {tuple(r.model.split("::")): r.wssse for r in per_model}
     for (algo, k), wssse in PUBLISHED_WSSSE.items():
         assert got[(algo, str(k))] == pytest.approx(wssse, rel=1e-9, abs=1e-14)
+
+
+def test_centre_table_is_exact(spark):
+    class Fitted:
+        def clusterCenters(self):
+            return [[0.1, 1 / 3, -2.5e-300], [6.02214076e23, -0.0, 0.6328885099766174]]
+
+    rows = cluster.centre_table(spark, [("kmeans", 2, Fitted())]).orderBy("cluster").collect()
+    assert [r.centre for r in rows] == Fitted().clusterCenters()
+    assert [(r.algorithm, r.k, r.cluster) for r in rows] == [("kmeans", 2, 0), ("kmeans", 2, 1)]
