@@ -92,7 +92,7 @@ top AS (
   QUALIFY rank <= 5)"""
 
 # Q3 fit: per area on days before 1999-06-01, x = days since the cutoff, forecast at x = 0.
-_SHARES = """hist AS (
+_HISTORY_FORECAST = """hist AS (
   SELECT area,
          CAST(SUM(total) AS BIGINT) AS history,
          CAST(regr_count(CAST(total AS DOUBLE), CAST(date_diff('day', DATE '1999-06-01', obs_date) AS DOUBLE)) AS BIGINT) AS n,
@@ -103,8 +103,9 @@ hf AS (
   SELECT area, history, n,
          CASE WHEN n < 2 THEN CAST(0 AS BIGINT)
               ELSE CAST(trunc(round(intercept + slope * 0, 6)) AS BIGINT) END AS forecast
-  FROM hist),
-shares AS (
+  FROM hist)"""
+
+_SHARES = """shares AS (
   SELECT hf.area, hf.history, hf.forecast, CAST(hf.history + hf.forecast AS BIGINT) AS total,
          p.population,
          CAST(hf.history + hf.forecast AS DOUBLE) / CAST(p.population AS DOUBLE) AS ratio
@@ -173,12 +174,12 @@ FROM top GROUP BY 1, 2""",
         + """SELECT next_month, band, area, forecast, rank,
        row_number() OVER (ORDER BY next_month DESC, band DESC, rank ASC) AS position
 FROM top""",
-        "history_union_forecast": _with(_DAILY, _SHARES.split(",\nshares AS")[0])
+        "history_union_forecast": _with(_DAILY, _HISTORY_FORECAST)
         + """SELECT area, obs_date, CAST(total AS BIGINT) AS total, 'history' AS kind
 FROM daily WHERE obs_date < DATE '1999-06-01'
 UNION ALL
 SELECT area, DATE '1999-06-01' AS obs_date, forecast AS total, 'forecast' AS kind FROM hf""",
-        "total_with_forecast": _with(_DAILY, _SHARES.split(",\nshares AS")[0])
+        "total_with_forecast": _with(_DAILY, _HISTORY_FORECAST)
         + "SELECT area, history, forecast, CAST(history + forecast AS BIGINT) AS total FROM hf",
         "composite_key_export": q1.replace(
             "SELECT m.area, m.month, m.n_days, m.total, u.units,",
@@ -192,6 +193,6 @@ per_dim AS (
 SELECT label, CAST(max(n) AS BIGINT) AS n, round(SUM(ss), 6) AS wssse FROM per_dim GROUP BY 1""",
         "q1_daily_mean_per_unit": q1,
         "q2_next_month_top_k": _with(_BANDED, _TRENDS) + "SELECT next_month, band, area, forecast, rank FROM top",
-        "q3_forecast_share": _with(_DAILY, _POPULATION, _SHARES)
+        "q3_forecast_share": _with(_DAILY, _POPULATION, _HISTORY_FORECAST, _SHARES)
         + "SELECT area, history, forecast, total, population, ratio FROM shares",
     }
