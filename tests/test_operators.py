@@ -103,3 +103,24 @@ def test_sum_count_and_mean(spark):
     assert out == {("a", 1): (31, 2, 15.5), ("a", 2): (7, 1, 7.0), ("b", 1): (5, 1, 5.0)}
     merged = {(r.k, r.m): r.v for r in agg.merge_rows(df, ["k", "m"], "v").collect()}
     assert merged == {("a", 1): 31, ("a", 2): 7, ("b", 1): 5}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(st.floats(-100, 100, allow_nan=False), min_size=3, max_size=3), min_size=3, max_size=40),
+       st.integers(0, 10_000))
+def test_label_cost_matches_brute_force_with_a_hot_label(spark, vectors, seed):
+    import random
+
+    from tallycast.operators import cluster
+
+    rng = random.Random(seed)
+    # label 0 takes at least a third of the rows
+    labels = [0 if i % 3 == 0 else rng.randrange(1, 4) for i in range(len(vectors))]
+    df = spark.createDataFrame(list(zip(labels, vectors)), "label int, v array<double>").repartition(5)
+    got = {r.label: (r.n, r.wssse) for r in cluster.label_cost(df, "v", "label").collect()}
+    for lab in set(labels):
+        pts = [v for l, v in zip(labels, vectors) if l == lab]
+        centre = [sum(p[i] for p in pts) / len(pts) for i in range(3)]
+        expect = sum((p[i] - centre[i]) ** 2 for p in pts for i in range(3))
+        assert got[lab][0] == len(pts)
+        assert abs(got[lab][1] - expect) <= 1e-9 * max(1.0, expect)
