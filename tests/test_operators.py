@@ -124,3 +124,28 @@ def test_label_cost_matches_brute_force_with_a_hot_label(spark, vectors, seed):
         expect = sum((p[i] - centre[i]) ** 2 for p in pts for i in range(3))
         assert got[lab][0] == len(pts)
         assert abs(got[lab][1] - expect) <= 1e-9 * max(1.0, expect)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("gh"), st.integers(0, 30), st.integers(-40, 400)), min_size=1, max_size=24),
+       st.integers(31, 40))
+def test_forecast_matches_exact_least_squares(spark, rows, x0):
+    import math
+    from fractions import Fraction
+
+    df = spark.createDataFrame(rows, "g string, x int, y long")
+    t = trend.linear_trend(df, ["g"], "x", "y")
+    got = {r.g: (r.h, r.z) for r in t.select(
+        "g", trend.forecast(F.lit(x0), "half_up").alias("h"), trend.forecast(F.lit(x0), "toward_zero").alias("z")
+    ).collect()}
+    for g in {r[0] for r in rows}:
+        pts = [(Fraction(x), Fraction(y)) for gg, x, y in rows if gg == g]
+        n = len(pts)
+        sx, sy = sum(p[0] for p in pts), sum(p[1] for p in pts)
+        d = n * sum(p[0] ** 2 for p in pts) - sx ** 2
+        if d == 0:
+            assert got[g] == (0, 0)
+            continue
+        slope = (n * sum(p[0] * p[1] for p in pts) - sx * sy) / d
+        value = (sy - slope * sx) / n + slope * x0
+        assert got[g] == (math.floor(value + Fraction(1, 2)), math.trunc(value))
