@@ -36,3 +36,21 @@ def test_run_job(spark, tmp_path):
     assert q3.select("row_key").distinct().count() == q3.count()
     cmp = {r.row_key: r.rank_in_k for r in spark.read.parquet(f"{out}/query3_comparison.parquet").collect()}
     assert set(cmp) == {"kmeans::2", "bisecting::2"} and sorted(cmp.values()) == [1, 2]
+
+
+def test_cli_main(spark, tmp_path):
+    from tallycast.job import main
+
+    daily = Q1_DAILY + [("BBB", dt.date(2021, 5, 30), 7), ("DDD", dt.date(2021, 5, 31), 2)]
+    args = [
+        "--units", _csv(tmp_path / "u.csv", Q1_UNITS),
+        "--daily", _csv(tmp_path / "d.csv", daily),
+        "--banded", _csv(tmp_path / "b.csv", Q2_ROWS),
+        "--population", _csv(tmp_path / "p.csv", [(a, 500) for a in ("AAA", "BBB", "DDD")], header="area,population"),
+        "--out", scratch_path(spark, "cli"),
+        "--ks", "2,3",
+    ]
+    main(args)
+    out = args[args.index("--out") + 1]
+    assert spark.read.parquet(f"{out}/query3.parquet").count() == 2 * 2 * 3
+    assert spark.read.parquet(f"{out}/query3_comparison.parquet").count() == 4
