@@ -149,3 +149,12 @@ def test_forecast_matches_exact_least_squares(spark, rows, x0):
         slope = (n * sum(p[0] * p[1] for p in pts) - sx * sy) / d
         value = (sy - slope * sx) / n + slope * x0
         assert got[g] == (math.floor(value + Fraction(1, 2)), math.trunc(value))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(-3, 3), min_size=1, max_size=60), st.integers(1, 9))
+def test_position_is_a_total_order_under_any_partitioning(spark, values, parts):
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v int").repartition(parts)
+    out = rank.with_position(df, [F.col("v").desc(), F.col("id").asc()]).collect()
+    want = sorted(enumerate(values), key=lambda t: (-t[1], t[0]))
+    assert sorted((r.position, r.id) for r in out) == [(i + 1, t[0]) for i, t in enumerate(want)]
