@@ -3,14 +3,13 @@
 The library never creates or reconfigures a session behind the caller's back:
 pipelines take the ``SparkSession`` they are given. ``build_session`` is for
 tests, the benchmark and command-line use; ``checkpoint_dir`` resolves the
-shared folder named by ``spark.checkpoint.dir`` and only falls back to a fresh
-local folder when the session has none (local runs and tests).
+shared folder named by ``spark.checkpoint.dir`` and falls back to a folder under
+the session's warehouse when none is set; never to a machine-local temp folder.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -58,10 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses the session's checkpoint directory (``spark.checkpoint.dir`` or one set
-    on the context). Only when none is configured and the master is local
-    (tests, single-machine runs) is a fresh local folder created and
-    registered; on a cluster a machine-local folder would not be shared, so an
-    unset directory is an error there.
+    on the context). When none is configured, a ``_scratch`` folder under the
+    session's warehouse folder is registered: the warehouse is shared by driver
+    and executors, a machine's temp folder is not.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,16 +72,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder shared by the cluster (e.g. on the distributed file system)"
-            )
-        configured = tempfile.mkdtemp(prefix="tallycast-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+# Scratch paths handed out so far, per application, for release_scratch.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every scratch path handed out in this application; returns how many.
+
+    Call it only when no DataFrame that reads them will be used again, e.g. after
+    its rows were written elsewhere.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
