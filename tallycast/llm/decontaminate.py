@@ -80,8 +80,11 @@ class Index:
         self.hash, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
         self.map = np.zeros(1 << MAP_BITS, dtype=bool)
         self.map[self._slot(self.hash)] = True
-        shortest = min((min(SEGMENT, len(c)) for _, c in self.items), default=SEGMENT)
-        self.least = shortest - Q + 1 - edit_budget(shortest) * Q
+        self.size = np.array([len(c) for _, c in self.items], dtype=np.int64)
+        self.length = np.minimum(SEGMENT, self.size)
+        self.budget = np.array([edit_budget(m) for m in self.length.tolist()], dtype=np.int64)
+        self.bound = self.length - Q + 1 - self.budget * Q
+        self.least = int(self.bound.min()) if len(self.items) else 1
         self.reach = SEGMENT + 2 * edit_budget(SEGMENT)
 
     @staticmethod
@@ -117,25 +120,44 @@ class Index:
         entry = np.repeat(self.first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         item, off = self.item[entry], self.off[entry]
         diagonal = np.repeat(pos, n) - off
-        out = []
-        for i in np.unique(item):
-            size = len(self.items[i][1])
-            m = min(SEGMENT, size)
-            k = edit_budget(m)
-            least, width = m - Q + 1 - k * Q, 2 * k + 1
-            mine = item == i
-            d, o = diagonal[mine], off[mine]
-            band = np.concatenate([d // width, d // width - 1])  # band b spans 2 * width diagonals from b * width
-            o = np.concatenate([o, o])
-            key = np.unique(band * (size + 1) + o)
-            band, o = key // (size + 1), key % (size + 1)
-            starts = sorted({*range(0, size - m + 1, SEGMENT // 2), size - m})
-            for b, lo, hi in zip(*_runs(band), strict=True):
-                for s in starts:
-                    a, z = np.searchsorted(o[lo:hi], [s, s + m - Q + 1])
-                    if z - a >= least:
-                        out.append((int(i), s, m, int(b) * width))
-        return out
+        # most shared q-grams are chance: keep those whose item and band may reach the bound,
+        # counted in a small hash table (a superset, cheap)
+        width = 2 * self.budget[item] + 1
+        cell = diagonal // width
+        bits = max(10, int(len(cell)).bit_length())
+        keep = np.zeros(len(cell), dtype=bool)
+        for shift in (0, 1):
+            slot = ((item * 0x9E3779B1 + (cell + shift) // 2) * 0x85EBCA6B >> 8) & ((1 << bits) - 1)
+            keep |= np.bincount(slot, minlength=1 << bits)[slot] >= self.bound[item]
+        if not keep.any():
+            return []
+        item, off, diagonal, width = item[keep], off[keep], diagonal[keep], width[keep]
+        m, size = self.length[item], self.size[item]
+        # band b spans 2 * width diagonals from b * width; a q-gram counts once per band and segment
+        band = diagonal // width - (diagonal // width).min() + 1
+        step = SEGMENT // 2
+        last = (size - m) // step
+        keys = []
+        span = int(band.max()) + 1
+        places = int(self.size.max()) // step + 2  # segment starts by number; the end-aligned one is the last number
+        for bd in (band, band - 1):
+            for number, start in (
+                (off // step, off // step * step),
+                (off // step - 1, (off // step - 1) * step),
+                (np.full(len(off), places - 1), size - m),
+            ):
+                ok = (start >= 0) & (off - start <= m - Q) & (off >= start) & ((number <= last) | (number == places - 1))
+                keys.append((((item * span + bd) * places + number) * (SEGMENT + 1) + off - start)[ok])
+        key = _runs(np.sort(np.concatenate(keys)))[0] // (SEGMENT + 1)
+        key, first, end = _runs(key)
+        count = end - first
+        who = key // (span * places)
+        enough = count >= self.bound[who]
+        key, who = key[enough], who[enough]
+        number, bd = key % places, key // places % span
+        start = np.where(number == places - 1, self.size[who] - self.length[who], number * step)
+        lowest = (bd - 1 + (diagonal // width).min()) * (2 * self.budget[who] + 1)
+        return list(zip(who.tolist(), start.tolist(), self.length[who].tolist(), lowest.tolist(), strict=True))
 
     def match(self, text: str) -> list[tuple[int, int, int, int, int, int]]:
         """(item id, edits, length, segments, start, end) per item found in a text; places count normalised characters."""
@@ -158,7 +180,8 @@ class Index:
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    edges = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]])
+    """Values, starts and ends of the runs of equal neighbours."""
+    edges = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) if len(x) else np.zeros(1, np.int64)
     return x[edges[:-1]], edges[:-1], edges[1:]
 
 

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallycast.llm.common import connected_components, materialise, text_of
@@ -56,20 +57,24 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    text = text_of("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
 
 
 def nodes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, n_shingles) for every row."""
+    """(doc_id, tie, node, n_shingles) for every row; ``tie`` is a hash of the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingle_set(t, size) for t in pdf["text"]]
             yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"].astype("Int64"), "node": [node_of(s) for s in sets], "n_shingles": [len(s) for s in sets]}
+                {
+                    "doc_id": pdf["doc_id"].astype("Int64"), "tie": pdf["tie"],
+                    "node": [node_of(s) for s in sets], "n_shingles": [len(s) for s in sets],
+                }
             )
 
-    return _texts(docs).mapInPandas(run, "doc_id long, node long, n_shingles long")
+    return _texts(docs).mapInPandas(run, "doc_id long, tie long, node long, n_shingles long")
 
 
 def heat(docs: DataFrame, size: int = SHINGLE, bits: int = SKETCH_BITS) -> np.ndarray:
@@ -281,12 +286,30 @@ def _next_pairs(rows: DataFrame, measured: DataFrame, pivots: int, every: int, p
 
 
 def components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, node) for every row."""
+    """(doc_id, n_shingles, component_id, tie, node, part) for every row; ``part`` names the component by a node."""
     known = materialise(nodes(docs, size), "nodes")
     roots = connected_components(materialise(link(docs, known, size, percent), "links"))
     joined = known.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
     least = joined.filter("node <> 0").groupBy("part").agg(F.min("doc_id").alias("least"))
     return joined.join(least, "part", "left").select(
         "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"),
-        F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "node",
+        F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "tie", "node", "part",
+    )
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component of ``found``, the one with the smallest id, then text hash; texts without words all stay."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    rows = found.select(key.alias("_k"), F.col("tie").alias("_tie"), "node", "part")
+    best = rows.filter("node <> 0").groupBy("part").agg(F.min(F.struct("_k", "_tie")).alias("b")).select(
+        "b._k", "b._tie", F.lit(False).alias("_all")
+    )
+    kept = best.union(rows.filter("node = 0").select("_k", "_tie", F.lit(True)).distinct())
+    nth = F.row_number().over(W.partitionBy("_k", "_tie").orderBy(F.lit(0)))
+    return (
+        docs.withColumn("_k", key).withColumn("_tie", F.xxhash64(text_of("text")))
+        .join(kept, ["_k", "_tie"])
+        .withColumn("_nth", nth)
+        .filter("_all OR _nth = 1")
+        .select(*docs.columns)
     )

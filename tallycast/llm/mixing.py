@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import WORD, materialise, text_of
+from tallycast.llm.common import WORD, let, materialise, text_of
 
 WEIGHTS = (5.0, 2.0, 1.0)   # by rank of the source, repeating
 MAX_REPEATS = 3
@@ -201,3 +201,45 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
         F.when(seen, F.col("taken")).otherwise(F.lit(0)).cast("long").alias("taken"),
         F.when(seen, F.col("shown")).alias("shown"),
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mixture as documents: all columns, one row per document and pass over it.
+
+    Pass k holds the words of the document's blocks that the mixture shows k times or more,
+    with the white space between them as it was; a document whose blocks are all shown keeps
+    its text, one that is not shown is gone.
+    """
+    mixed = mix(docs, **options).filter("taken > 0").select(
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("tie").alias("_t"), "shown",
+        # rows repeated as a whole meet one plan each
+        F.row_number().over(W.partitionBy("doc_id", "source", "tie").orderBy(F.col("taken").desc(), F.to_json("shown"))).alias("_n"),
+    )
+    rows = docs.withColumn("_tie", F.xxhash64(text_of("text"))).withColumn(
+        "_nth", F.row_number().over(W.partitionBy("doc_id", "source", "_tie").orderBy(F.monotonically_increasing_id()))
+    )
+    joined = rows.join(
+        mixed,
+        F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
+        & (F.col("_tie") == F.col("_t")) & (F.col("_nth") == F.col("_n")),
+    )
+    keep = [c for c in docs.columns]
+    # words with the white space after them; the first one also keeps the text's leading space
+    pieces = F.regexp_extract_all("text", F.lit(r"(^[\x20\x09-\x0D]*)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    passes = F.sequence(F.lit(1), F.array_max(F.transform("shown", lambda s: s["times"])).cast("int"))
+    part = let(
+        pieces,
+        lambda p: F.array_join(
+            F.flatten(
+                F.transform(
+                    F.filter("shown", lambda s: s["times"] >= F.col("_pass")),
+                    lambda s: F.slice(p, (s["from"] + 1).cast("int"), s["words"].cast("int")),
+                )
+            ),
+            "",
+        ),
+    )
+    out = joined.withColumn("_pass", F.explode(passes)).withColumn("text", part)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*keep)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import chat, mixing, quality, rans, toxicity, urls
+from tallycast.llm import chat, decontaminate, jaccard, mixing, passages, quality, rans, substrings, toxicity, urls
 from tallycast.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -44,6 +48,20 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(read_table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     turns = read_table(spark, sf_dir, "conversations").select(
@@ -83,10 +101,61 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_rans_tokens": op2_rans_tokens,
     "op3_quality_ledger": op3_quality_ledger,
+    "op4_jaccard_components": op4_jaccard_components,
+    "op5_repeated_passages": op5_repeated_passages,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op9_url_rules": op9_url_rules,
     "op10_toxicity": op10_toxicity,
 }
+
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+ORACLE_SQL = {
+    "op3_quality_ledger": f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '{_WORD}') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l FROM d),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 4) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 5)) AS k) GROUP BY 1),
+m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
+             CAST(length(regexp_replace(t, '\\P{{Lu}}', '', 'g')) AS BIGINT) AS n_upper,
+             CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
+b AS (SELECT *, CAST((CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
+             + (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END) + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END)
+             + (CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words) THEN 16 ELSE 0 END)
+             + (CASE WHEN 2 * n_upper > word_chars THEN 32 ELSE 0 END) AS BIGINT) AS failed_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b""",
+    "op4_jaccard_components": f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b)
+SELECT r.a AS doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY 1""",
+    "op7_chat_format": r"""WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (SELECT *, regexp_replace(role, '([<\[])(\\*)(s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g') AS er,
+             regexp_replace(text, '([<\[])(\\*)(s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g') AS et FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(length('<s>[INST][/INST]</s>') + 1 + length(er) + length(et)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY 1""",
+}

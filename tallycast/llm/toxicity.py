@@ -21,12 +21,12 @@ scored alike.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.llm.common import text_of
@@ -241,15 +241,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train(*labelled_sample(docs, labels))
 
 
+def score_column(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A column function from text to score."""
+    shared = spark.sparkContext.broadcast((model.weights, model.bias, model.constant))  # BUCKETS floats
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(Model(*shared.value))
+        for texts in batches:
+            yield texts.map(scorer.score).astype(float)
+
+    return lambda text: scored(text_of(text))
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, score, predicted) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.constant))  # BUCKETS floats
+    scored = score_column(docs.sparkSession, model)
+    return docs.select("doc_id", scored(F.col("text")).alias("score")).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int")
+    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(Model(*shared.value))
-        for pdf in batches:
-            s = np.fromiter(map(scorer.score, pdf["text"]), np.float64, count=len(pdf))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s, "predicted": (s >= threshold).astype(np.int32)})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of("text").alias("text")).mapInPandas(run, f"doc_id {kind}, score double, predicted int")
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score under the threshold, with their columns."""
+    scored = score_column(docs.sparkSession, model)
+    return docs.filter(scored(F.col("text")) < threshold)
