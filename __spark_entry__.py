@@ -21,6 +21,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tallycast import registry  # noqa: E402
 
+try:  # the training-data subpackage and its pipeline may be absent
+    import corpus_pipeline
+    from tallycast.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -30,7 +36,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(registry.QUERIES)
+    out = dict(registry.QUERIES)
+    if llm is not None:
+        out |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 # ---------------------------------------------------------------------------------------
@@ -117,6 +126,10 @@ def _with(*ctes: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _library_sql() | (llm.ORACLE_SQL if llm is not None else {})
+
+
+def _library_sql() -> dict[str, str]:
     q1 = (
         _with(_DAILY, _UNITS, _UNIT_COUNTS, _MONTH_SUMS)
         + """SELECT m.area, m.month, m.n_days, m.total, u.units,
