@@ -306,7 +306,7 @@ def encode(tokenised: DataFrame, table: DataFrame, block_tokens: int = BLOCK_TOK
             yield flush()
 
     return (
-        tokenised.repartitionByRange(parallelism(spark), "doc_id", "ids")
+        tokenised.repartitionByRange(parallelism(spark), "doc_id")
         .sortWithinPartitions("doc_id", "ids")
         .select("doc_id", "ids", F.spark_partition_id().alias("shard"))
         .mapInPandas(run, BLOCKS)
