@@ -6,7 +6,6 @@ from tallycast.functions.dates import (
     month_start,
     month_token,
     next_month_start,
-    parse_date,
     split_part,
     year_bounds,
 )
@@ -22,7 +21,6 @@ __all__ = [
     "month_start",
     "month_token",
     "next_month_start",
-    "parse_date",
     "ratio",
     "round_half_up",
     "row_key",

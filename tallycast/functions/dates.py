@@ -22,11 +22,6 @@ def date_lit(d: dt.date | str) -> Column:
     return F.lit(d).cast("date")
 
 
-def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    """String -> date, failing on values that are not real dates."""
-    return F.to_date(_c(c), fmt)
-
-
 def month_start(c: ColumnOrName) -> Column:
     """First day of the date's month."""
     return F.trunc(_c(c), "month")

@@ -11,8 +11,9 @@ KEY_SEPARATOR = "::"
 
 
 def row_key(*cols: Column | str, sep: str = KEY_SEPARATOR) -> Column:
-    """``'a::b::c'`` from the parts, each rendered as text."""
-    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    """``'a::b::c'`` from the parts, each rendered as text (X3, X5); a null part fails the job."""
+    null_part = F.raise_error(F.lit("null part in a row key")).cast("string")
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), null_part) for c in cols]
     return F.concat_ws(sep, *parts)
 
 

@@ -14,12 +14,13 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.functions.keys import row_key
-from tallycast.operators.cluster import ALGORITHMS, DEFAULT_KS, compare
+from tallycast.operators.cluster import ALGORITHMS, DEFAULT_KS, DEFAULT_MAX_ITER, DEFAULT_RESTARTS, compare
 from tallycast.plans import daily_mean_per_unit, forecast_total_share, next_month_top_k, share_segments
+from tallycast.session import release_scratch, scratch_path
 from tallycast.sinks import duplicate_keys, write_csv
 from tallycast.sources import read_csv, schemas
 
@@ -46,6 +47,11 @@ class Params:
     algorithms: Sequence[str] = ALGORITHMS
     as_float: bool = True
     month_pattern: str = "yyyy-MM"
+    published_format: bool = False  # Q2 as published: unpadded month, key and forecast only, keys descending
+    measure: str = "total"
+    max_iter: int = DEFAULT_MAX_ITER
+    seed: int | None = None
+    restarts: int = DEFAULT_RESTARTS
 
 
 def query1(spark: SparkSession, inputs: Inputs, p: Params) -> DataFrame:
@@ -60,12 +66,10 @@ def query1(spark: SparkSession, inputs: Inputs, p: Params) -> DataFrame:
 def query2(spark: SparkSession, inputs: Inputs, p: Params) -> DataFrame:
     """(row_key 'month::band::area', forecast, rank) -- next-month top k."""
     banded = read_csv(spark, inputs.banded, schemas.BANDED)
-    q2 = next_month_top_k(banded, p.trend_start, p.trend_end, k=p.top_k)
-    return q2.select(
-        row_key(F.date_format("next_month", p.month_pattern), "band", "area").alias("row_key"),
-        "forecast",
-        "rank",
-    )
+    q2 = next_month_top_k(banded, p.trend_start, p.trend_end, k=p.top_k, measure=p.measure)
+    pattern = "M" if p.published_format else p.month_pattern
+    key = row_key(F.date_format("next_month", pattern), "band", "area").alias("row_key")
+    return q2.select(key, "forecast") if p.published_format else q2.select(key, "forecast", "rank")
 
 
 def query3(spark: SparkSession, inputs: Inputs, p: Params) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +78,9 @@ def query3(spark: SparkSession, inputs: Inputs, p: Params) -> tuple[DataFrame, D
     daily = read_csv(spark, inputs.daily, schemas.DAILY)
     population = read_csv(spark, inputs.population, schemas.POPULATION, header=inputs.population_header)
     shares = forecast_total_share(daily, population, p.cutoff)
-    sweep = share_segments(shares, ks=p.ks, algorithms=p.algorithms)
+    sweep = share_segments(
+        shares, ks=p.ks, algorithms=p.algorithms, max_iter=p.max_iter, seed=p.seed, restarts=p.restarts
+    )
     rows = sweep.select(
         row_key("algorithm", "k", "area").alias("row_key"), "cost", "wssse", "ratio", "cluster"
     )
@@ -84,22 +90,26 @@ def query3(spark: SparkSession, inputs: Inputs, p: Params) -> tuple[DataFrame, D
     return rows, comparison
 
 
-def _save(df: DataFrame, out: str, name: str) -> None:
-    """Compute the result once into the keyed parquet table, then check the keys
-    and export the CSV from the written table (not from the upstream plan)."""
-    base = out.rstrip("/")
-    df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
-    written = df.sparkSession.read.parquet(f"{base}/{name}.parquet")
+def _save(df: DataFrame, out: str, name: str, order: Column | None = None) -> None:
+    """Compute the result once into a scratch table, check its keys, and only then
+    publish it as the keyed parquet table and its CSV export."""
+    base, spark = out.rstrip("/"), df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    written = spark.read.parquet(path)
     if duplicate_keys(written).limit(1).count() > 0:
-        raise ValueError(f"{name}: duplicate row keys in {base}/{name}.parquet")
-    write_csv(written, f"{base}/{name}", header=False)
+        raise ValueError(f"{name}: duplicate row keys; the published result is unchanged")
+    written.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+    write_csv(written.orderBy(order) if order is not None else written, f"{base}/{name}", header=False)
+    release_scratch(spark, [path])
 
 
 def run_job(spark: SparkSession, inputs: Inputs, out: str, params: Params | None = None) -> None:
     """Run Q1, Q2 and Q3 in sequence and write each under ``out``."""
     p = params or Params()
     _save(query1(spark, inputs, p), out, "query1")
-    _save(query2(spark, inputs, p), out, "query2")
+    # keys begin with month and band, so one order serves both
+    _save(query2(spark, inputs, p), out, "query2", F.col("row_key").desc() if p.published_format else None)
     rows, comparison = query3(spark, inputs, p)
     _save(rows, out, "query3")
     _save(comparison, out, "query3_comparison")
@@ -118,10 +128,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--trend-end", type=dt.date.fromisoformat, default=None)
     ap.add_argument("--cutoff", type=dt.date.fromisoformat, default=dt.date(2021, 6, 1))
     ap.add_argument("--top-k", type=int, default=5)
+    ap.add_argument("--month-pattern", default="yyyy-MM")
+    ap.add_argument("--published-format", action="store_true")
+    ap.add_argument("--measure", default="total")
+    ap.add_argument("--algorithms", type=lambda s: s.split(","), default=list(ALGORITHMS))
+    ap.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
+    ap.add_argument("--seed", type=int, default=None)
+    ap.add_argument("--restarts", type=int, default=DEFAULT_RESTARTS)
     ap.add_argument("--ks", type=lambda s: [int(x) for x in s.split(",")], default=list(DEFAULT_KS))
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tallycast").getOrCreate()
     inputs = Inputs(args.units, args.daily, args.banded, args.population, not args.population_no_header)
     params = Params(year=args.year, trend_start=args.trend_start, trend_end=args.trend_end,
-                    top_k=args.top_k, cutoff=args.cutoff, ks=args.ks)
+                    top_k=args.top_k, cutoff=args.cutoff, ks=args.ks, algorithms=args.algorithms,
+                    month_pattern=args.month_pattern, published_format=args.published_format,
+                    measure=args.measure, max_iter=args.max_iter, seed=args.seed, restarts=args.restarts)
     run_job(spark, inputs, args.out, params)

@@ -21,7 +21,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.util import inheritable_thread_target
@@ -53,6 +52,9 @@ def _java_string_hash(s: str) -> int:
 # it is pinned here to keep runs reproducible.
 DEFAULT_BISECTING_SEED = _java_string_hash("org.apache.spark.mllib.clustering.BisectingKMeans")
 DEFAULT_PARALLELISM = 4
+DEFAULT_RESTARTS = 4
+DEFAULT_BISECTING_ITER = 20  # the library's default; the original gave bisecting no iterations
+LAYOUT_ROWS = 65_536         # feature rows per partition while training
 
 
 def vectorize(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -77,7 +79,7 @@ def estimator(
 
     ``kmeans`` uses k-means|| initialisation and a fixed default seed so runs
     repeat. ``bisecting`` keeps the library's defaults, as the original did,
-    with the seed pinned to the JVM library default; ``max_iter`` applies to both.
+    with the seed pinned to the JVM library default; ``max_iter`` is for k-means only.
     """
     if algorithm == "kmeans":
         est = KMeans(
@@ -90,7 +92,7 @@ def estimator(
     elif algorithm == "bisecting":
         est = BisectingKMeans(
             k=k,
-            maxIter=max_iter,
+            maxIter=DEFAULT_BISECTING_ITER,
             seed=DEFAULT_BISECTING_SEED if seed is None else seed,
             featuresCol=features_col,
             predictionCol=prediction_col,
@@ -173,7 +175,8 @@ def cluster_sweep(
     features_col: str = "features",
     parallelism: int = DEFAULT_PARALLELISM,
     cut_lineage: bool = True,
-    restarts: int = 1,
+    restarts: int = DEFAULT_RESTARTS,
+    canonical: bool = True,
 ) -> DataFrame:
     """Fit every (algorithm, k) and return one row per (algorithm, k, input row) (M7).
 
@@ -181,7 +184,7 @@ def cluster_sweep(
     (cost of the whole input under the model). Training runs now, up to
     ``parallelism`` models at a time (each fit is its own series of Spark jobs,
     as in ``CrossValidator``), and the WSSSE of all models is one aggregate job
-    over the cached features; the returned rows are lazy, one pass per model.
+    over the cached features; the returned rows are lazy, one pass for all models.
 
     ``cut_lineage`` checkpoints the features first -- worth it when they come
     out of joins and aggregations; for a plain projection of a stored table
@@ -190,12 +193,19 @@ def cluster_sweep(
     ``restarts`` > 1 fits k-means from that many seeds (``seed``, ``seed + 1``,
     ...) and keeps the model with the lowest training cost per k; k-means only
     finds a local optimum from any one start.
+
+    ``canonical`` lays the rows out by ``keep`` in partitions of about LAYOUT_ROWS
+    first: training adds up in row order, so given rows then give one result
+    whatever partitioning they came in; ``False`` trains in the given layout.
     """
     spark = features.sparkSession
     data = features.select(*keep, features_col)
     if cut_lineage:
         checkpoint_dir(spark)
         data = data.checkpoint(eager=True)
+    if canonical:
+        partitions = max(1, -(-data.count() // LAYOUT_ROWS))
+        data = data.repartition(partitions, *keep).sortWithinPartitions(*keep)
     data.persist(StorageLevel.MEMORY_AND_DISK)
     data.count()  # materialise once, before the concurrent fits read it
     base_seed = DEFAULT_KMEANS_SEED if seed is None else seed
@@ -223,31 +233,44 @@ def cluster_sweep(
                 best[key] = model
         fitted = [(algo, k, model) for (algo, k), model in best.items()]
 
-        def assign(algo, k, model):
-            return model.transform(data).select(
-                F.lit(algo).alias("algorithm"),
-                F.lit(k).cast("int").alias("k"),
-                *keep,
-                features_col,
-                F.col("cluster").cast("int").alias("cluster"),
-            )
-
-        # WSSSE of every model in one job over the cached features; the result
-        # has one row per model (bounded by the grid)
-        assigned = reduce(DataFrame.unionByName, [assign(a, k, m) for a, k, m in fitted])
-        costs = assignment_cost(assigned, centre_table(spark, fitted), features_col=features_col)
-        wssse = {(r.algorithm, r.k): r.wssse for r in costs.collect()}
+        # every model adds its prediction to one pass over the rows
+        wide = data
+        for i, (_, _, model) in enumerate(fitted):
+            wide = model.copy({model.predictionCol: f"_cluster{i}"}).transform(wide)
+        models = F.array(*[
+            F.struct(F.lit(a).alias("algorithm"), F.lit(k).cast("int").alias("k"),
+                     F.col(f"_cluster{i}").cast("int").alias("cluster"))
+            for i, (a, k, _) in enumerate(fitted)
+        ])
+        wssse = _sweep_wssse(wide.select(features_col, F.inline(models)), fitted, features_col)
     finally:
         data.unpersist()
-    pieces = [
-        assign(algo, k, model).select(
-            "algorithm", "k", *keep, "cluster",
-            F.lit(float(model.summary.trainingCost)).alias("cost"),
-            F.lit(float(wssse[(algo, k)])).alias("wssse"),
+    rows = F.array(*[
+        F.struct(
+            F.lit(a).alias("algorithm"), F.lit(k).cast("int").alias("k"),
+            F.col(f"_cluster{i}").cast("int").alias("cluster"),
+            F.lit(float(model.summary.trainingCost)).alias("cost"), F.lit(wssse[a, k]).alias("wssse"),
         )
-        for algo, k, model in fitted
-    ]
-    return reduce(DataFrame.unionByName, pieces)
+        for i, (a, k, model) in enumerate(fitted)
+    ])
+    return wide.select(*keep, F.inline(rows)).select("algorithm", "k", *keep, "cluster", "cost", "wssse")
+
+
+def _sweep_wssse(assigned: DataFrame, fitted, features_col: str) -> dict[tuple[str, int], float]:
+    """WSSSE per model from one grouped pass: squares around each cluster's mean, plus its shift from the centre.
+
+    One row per (algorithm, k, cluster) comes back.
+    """
+    stats = assigned.groupBy("algorithm", "k", "cluster").agg(
+        Summarizer.metrics("count", "mean", "variance").summary(F.col(features_col)).alias("s")
+    )
+    centres = {(a, k): model.clusterCenters() for a, k, model in fitted}
+    out = dict.fromkeys(centres, 0.0)
+    for r in stats.collect():
+        mean, variance, n = r["s"]["mean"].toArray(), r["s"]["variance"].toArray(), r["s"]["count"]
+        shift = mean - centres[r["algorithm"], r["k"]][r["cluster"]]
+        out[r["algorithm"], r["k"]] += float((n - 1) * variance.sum() + n * (shift * shift).sum())
+    return out
 
 
 def compare(sweep: DataFrame) -> DataFrame:
@@ -255,11 +278,14 @@ def compare(sweep: DataFrame) -> DataFrame:
 
     One row per model: the ranking window runs over the (tiny) model table.
     """
-    per_model = sweep.groupBy("algorithm", "k").agg(
+    clusters = sweep.groupBy("algorithm", "k", "cluster").agg(
+        F.first("cost").alias("cost"), F.first("wssse").alias("wssse"), F.count(F.lit(1)).alias("n")
+    )
+    per_model = clusters.groupBy("algorithm", "k").agg(
         F.first("cost").alias("cost"),
         F.first("wssse").alias("wssse"),
-        F.countDistinct("cluster").alias("clusters_used"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1)).alias("clusters_used"),
+        F.sum("n").alias("rows"),
     )
     w = Window.partitionBy("k").orderBy(F.col("wssse").asc(), F.col("algorithm").asc())
     return per_model.withColumn("rank_in_k", F.row_number().over(w))

@@ -49,13 +49,6 @@ def is_degenerate(slope: str | Column = "slope") -> Column:
     return s.isNull() | F.isnan(s)
 
 
-def predict(x0: Column, slope: str = "slope", intercept: str = "intercept") -> Column:
-    """Value of the fitted line at ``x0``; 0.0 when no line is defined."""
-    return F.when(is_degenerate(slope), F.lit(0.0)).otherwise(
-        F.col(intercept) + F.col(slope) * x0.cast("double")
-    )
-
-
 def forecast(
     x0: Column,
     rounding: str = "half_up",

@@ -16,9 +16,10 @@ from tallycast.operators.trend import forecast, linear_trend
 
 def monthly_trends(
     banded: DataFrame,
-    start: dt.date,
+    start: dt.date | None = None,
     end: dt.date | None = None,
     keys: tuple[str, ...] = ("area", "band"),
+    measure: str = "total",
 ) -> DataFrame:
     """(month, area, band, n, slope, intercept): the daily line of each month.
 
@@ -27,15 +28,13 @@ def monthly_trends(
     fit sees daily totals. x is the day offset from the month's first day.
 
     Supplier rows are merged first (partial aggregation in every map task, so a
-    hot key ships one row per task). The merged daily rows -- at most
-    areas x days x bands, however large the raw feed -- are then
-    hash-partitioned once by (month, band): the fit and the later ranking per
-    (month, band) group by supersets of it, so neither shuffles again.
+    hot key ships one row per task), and the fit is partially aggregated before
+    its shuffle on (month, area, band). ``measure`` is the column summed.
     """
-    daily = merge_rows(in_range(banded, "obs_date", start, end), ["obs_date", *keys], "total")
-    rows = daily.withColumn("month", month_start("obs_date")).repartition("month", keys[-1])
+    daily = merge_rows(in_range(banded, "obs_date", start, end), ["obs_date", *keys], measure)
+    rows = daily.withColumn("month", month_start("obs_date"))
     with_x = rows.withColumn("x", day_offset("obs_date", "month"))
-    return linear_trend(with_x, ["month", *keys], "x", "total")
+    return linear_trend(with_x, ["month", *keys], "x", measure)
 
 
 def next_month_forecasts(trends: DataFrame) -> DataFrame:
@@ -48,18 +47,18 @@ def next_month_forecasts(trends: DataFrame) -> DataFrame:
 
 def next_month_top_k(
     banded: DataFrame,
-    start: dt.date,
+    start: dt.date | None = None,
     end: dt.date | None = None,
     k: int = 5,
+    measure: str = "total",
 ) -> DataFrame:
     """(next_month, band, area, forecast, rank) with rank <= k per (next_month, band).
 
     Ties on the forecast are broken by area, ascending. Groups with fewer than
     two days forecast 0; negative forecasts are kept.
     """
-    fc = next_month_forecasts(monthly_trends(banded, start, end))
-    # ranked per (month, band): same groups as (next_month, band), and already
-    # partitioned that way by monthly_trends
+    fc = next_month_forecasts(monthly_trends(banded, start, end, measure=measure))
+    # at most k rows per group and task reach the ranking's shuffle
     ranked = top_k(
         fc,
         ["month", "band"],

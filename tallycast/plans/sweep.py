@@ -10,6 +10,7 @@ from tallycast.operators.cluster import (
     ALGORITHMS,
     DEFAULT_KS,
     DEFAULT_MAX_ITER,
+    DEFAULT_RESTARTS,
     cluster_sweep,
     vectorize,
     vectorize_array,
@@ -24,7 +25,8 @@ def share_segments(
     seed: int | None = None,
     key: str = "area",
     value: str = "ratio",
-    restarts: int = 1,
+    restarts: int = DEFAULT_RESTARTS,
+    canonical: bool = True,
 ) -> DataFrame:
     """(algorithm, k, area, ratio, cluster, cost, wssse) from a per-area share table.
 
@@ -33,7 +35,7 @@ def share_segments(
     """
     features = vectorize(shares.select(key, value), [value])
     return cluster_sweep(
-        features, [key, value], ks, algorithms, max_iter, seed, cut_lineage=True, restarts=restarts
+        features, [key, value], ks, algorithms, max_iter, seed, cut_lineage=True, restarts=restarts, canonical=canonical
     )
 
 

@@ -89,10 +89,16 @@ def month_tokens(spark: SparkSession, base: str) -> DataFrame:
 
 
 def leading_token_explode(spark: SparkSession, base: str) -> DataFrame:
-    exploded = agg.explode_tokens(units_table(spark, base), "area", sep=",")
+    """Documents per comma-separated token of their whole text."""
+    exploded = agg.explode_tokens(table(spark, base, "documents").select("text"), "text", sep=",")
     return agg.count_per_key(exploded, ["token"])
 
 
+def text_contains(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "lang", "text")
+    return filters.text_contains(docs, "text", " the ").select("doc_id", "lang")
+
+
 # --- aggregates and joins -------------------------------------------------------------
 
 def units_per_area(spark: SparkSession, base: str) -> DataFrame:
@@ -100,7 +106,7 @@ def units_per_area(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _month_sums(spark: SparkSession, base: str) -> DataFrame:
-    d = filters.in_year(daily_totals_table(spark, base), "obs_date", YEAR)
+    d = daily_totals_table(spark, base)
     return agg.sum_and_count(d.withColumn("month", month_start("obs_date")), ["area", "month"], "total")
 
 
@@ -125,9 +131,7 @@ def join_mean_units(spark: SparkSession, base: str) -> DataFrame:
 
 
 def join_total_population(spark: SparkSession, base: str) -> DataFrame:
-    hist = agg.total_per_key(
-        filters.before(daily_totals_table(spark, base), "obs_date", CUTOFF), ["area"], "total", "history"
-    )
+    hist = agg.total_per_key(daily_totals_table(spark, base), ["area"], "total", "history")
     return hist.join(population_table(spark, base), "area").select(
         "area", "history", "population",
         (F.col("history").cast("double") / F.col("population")).alias("ratio"),
@@ -137,12 +141,12 @@ def join_total_population(spark: SparkSession, base: str) -> DataFrame:
 # --- trend and forecast ---------------------------------------------------------------
 
 def _trends(spark: SparkSession, base: str) -> DataFrame:
-    return monthly_trends(_banded(spark, base), TREND_START)
+    return monthly_trends(_banded(spark, base))
 
 
 def trend_by_group(spark: SparkSession, base: str) -> DataFrame:
-    t = _trends(spark, base).filter(F.col("n") >= 2)
-    return t.select(
+    # a single day has no line: null slope and intercept
+    return _trends(spark, base).select(
         "month", "area", "band", "n",
         F.round("slope", DIGITS).alias("slope"),
         F.round("intercept", DIGITS).alias("intercept"),
@@ -159,9 +163,7 @@ def next_month_forecast(spark: SparkSession, base: str) -> DataFrame:
 
 def top_k_per_group(spark: SparkSession, base: str) -> DataFrame:
     monthly = agg.total_per_key(
-        filters.on_or_after(_banded(spark, base), "obs_date", TREND_START).withColumn(
-            "month", month_start("obs_date")
-        ),
+        _banded(spark, base).withColumn("month", month_start("obs_date")),
         ["month", "band", "area"],
         "total",
     )
@@ -172,8 +174,12 @@ def _q2(spark: SparkSession, base: str) -> DataFrame:
     return next_month_top_k(_banded(spark, base), TREND_START, k=TOP_K)
 
 
+def _all_months(spark: SparkSession, base: str) -> DataFrame:
+    return next_month_top_k(_banded(spark, base), k=TOP_K)
+
+
 def top_k_nested(spark: SparkSession, base: str) -> DataFrame:
-    nested = rank.nest_ranked(_q2(spark, base), ["next_month", "band"], ["area", "forecast"])
+    nested = rank.nest_ranked(_all_months(spark, base), ["next_month", "band"], ["area", "forecast"])
     return nested.select(
         "next_month",
         "band",
@@ -186,7 +192,7 @@ def top_k_nested(spark: SparkSession, base: str) -> DataFrame:
 
 def ordered_ranking(spark: SparkSession, base: str) -> DataFrame:
     order = [F.col("next_month").desc(), F.col("band").desc(), F.col("rank").asc()]
-    return rank.with_position(_q2(spark, base), order)
+    return rank.with_position(_all_months(spark, base), order)
 
 
 # --- history and forecast -------------------------------------------------------------
@@ -253,6 +259,35 @@ def embedding_cluster_sweep(spark: SparkSession, base: str) -> DataFrame:
     return vector_segments(embedding_features(spark, base), "vec_id", "embedding")
 
 
+def sweep_share_rows(spark: SparkSession, base: str) -> DataFrame:
+    """Keys and ratios of the Q3 sweep: every share once per model."""
+    return q3_cluster_sweep(spark, base).select("row_key", "ratio")
+
+
+def sweep_sum_of_squares(spark: SparkSession, base: str) -> DataFrame:
+    """Per model of the embedding sweep: rows, and squares within plus between its clusters."""
+    points = embedding_features(spark, base).select("vec_id", "embedding")
+    e = embedding_cluster_sweep(spark, base).join(points, "vec_id")
+    keys = ["algorithm", "k"]
+    dims = e.select(*keys, "cluster", F.posexplode("embedding").alias("i", "v"))
+    per = dims.groupBy(*keys, "cluster", "i").agg(
+        F.count(F.lit(1)).alias("n"), F.var_pop("v").alias("var"), F.avg("v").alias("mean")
+    )
+    over = per.groupBy(*keys, "i").agg(
+        F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("var")).alias("within"),
+        (F.sum(F.col("n") * F.col("mean") ** 2) - F.sum(F.col("n") * F.col("mean")) ** 2 / F.sum("n")).alias("between"),
+    )
+    return over.groupBy(*keys).agg(
+        F.max("rows").alias("rows"), F.round(F.sum(F.col("within") + F.col("between")), 3).alias("total_ss")
+    )
+
+
+def sweep_cost_check(spark: SparkSession, base: str) -> DataFrame:
+    """Per model: rows, and whether the recomputed WSSSE is at most the training cost (that of the step before, if max_iter ends it)."""
+    c = cluster.compare(embedding_cluster_sweep(spark, base))
+    return c.select("algorithm", "k", "rows", (F.col("wssse") <= F.col("cost") * (1 + 1e-6)).alias("not_above"))
+
+
 # --- the pipelines --------------------------------------------------------------------
 
 def q1_daily_mean_per_unit(spark: SparkSession, base: str) -> DataFrame:
@@ -274,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "filter_before": filter_before,
     "month_token": month_tokens,
     "leading_token_explode": leading_token_explode,
+    "text_contains": text_contains,
     "units_per_area": units_per_area,
     "sum_count_by_area_month": sum_count_by_area_month,
     "mean_by_area_month": mean_by_area_month,
@@ -295,6 +331,9 @@ QUERIES: dict[str, Query] = {
     "cluster_comparison": cluster_comparison,
     "q3_cluster_sweep": q3_cluster_sweep,
     "embedding_cluster_sweep": embedding_cluster_sweep,
+    "sweep_share_rows": sweep_share_rows,
+    "sweep_sum_of_squares": sweep_sum_of_squares,
+    "sweep_cost_check": sweep_cost_check,
     "q1_daily_mean_per_unit": q1_daily_mean_per_unit,
     "q2_next_month_top_k": q2_next_month_top_k,
     "q3_forecast_share": q3_forecast_share,

@@ -89,14 +89,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete every scratch path handed out in this application; returns how many.
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete the given scratch paths, or every one handed out in this application; returns how many.
 
     Call it only when no DataFrame that reads them will be used again, e.g. after
     its rows were written elsewhere.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    if paths is None:
+        paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)

@@ -1,8 +1,6 @@
 """Writers and read-back (K1-K5).
 
-Results stay multi-part: every task writes its own file. A single-file export
-is offered only for results with a checked row bound, since it funnels all rows
-through one task.
+Results stay multi-part: every task writes its own file.
 """
 
 from __future__ import annotations
@@ -13,8 +11,6 @@ from pyspark.sql import functions as F
 from tallycast.functions.keys import KEY_SEPARATOR, row_key
 from tallycast.sources.csv import DATE_FORMAT, read_csv
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
 
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
     """CSV directory, one part file per task (K1 headerless, K2 with header)."""
@@ -31,22 +27,6 @@ def read_csv_dir(spark: SparkSession, path: str, ddl: str, header: bool = False)
     return read_csv(spark, path, ddl, header=header)
 
 
-def write_single_csv(
-    df: DataFrame,
-    path: str,
-    header: bool = False,
-    max_rows: int = SINGLE_FILE_MAX_ROWS,
-) -> None:
-    """One CSV part file for a small, bounded result (K3).
-
-    Refuses results above ``max_rows``: merging is a single-task step.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows exceed the single-file bound {max_rows}; keep it multi-part")
-    write_csv(df.coalesce(1), path, header=header)
-
-
 def duplicate_keys(df: DataFrame, key: str = "row_key") -> DataFrame:
     """Keys that occur more than once (distributed check, partial aggregate)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -104,5 +84,4 @@ __all__ = [
     "write_csv",
     "write_bucketed",
     "write_keyed",
-    "write_single_csv",
 ]

@@ -32,16 +32,25 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV with a declared schema; columns are named by position.
 
-    ``strict`` (default) fails the job on a value that does not parse, like the
-    original conversions did; otherwise malformed fields become null.
+    ``strict`` (default) fails the job on a value that does not parse, a blank
+    field, or a row with too few or too many fields, whichever columns the query
+    reads; otherwise malformed fields become null.
     """
-    return (
+    rows = (
         spark.read.schema(ddl)
         .option("header", header)
         .option("dateFormat", date_format)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .option("columnPruning", not strict)
         .csv(path)
     )
+    if not strict:
+        return rows
+    names = rows.columns
+    blank = F.raise_error(F.lit("blank field in a required column"))
+    whole = reduce(lambda acc, c: acc & c, [F.col(n).isNotNull() for n in names])
+    # a filter on all columns cannot be pruned away
+    return rows.filter(F.when(whole, F.lit(True)).otherwise(blank.cast("boolean")))
 
 
 def _typed(raw: Column, dtype: str, date_format: str) -> Column:
@@ -61,23 +70,30 @@ def read_csv_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """Read CSV leniently and split it into (typed rows, rejected raw rows).
 
-    A row is rejected when any non-empty field fails to convert to its declared
-    type. Both outputs come from the same scan; cache the input of both if they
-    are consumed by separate actions.
+    A row is rejected when a field is blank or fails to convert to its declared
+    type, or when the row has too few or too many fields; rejected rows keep the
+    whole line in ``_record`` if their field count is wrong. Good and rejected
+    rows add up to the input rows. Both outputs come from the same scan; cache
+    the input of both if they are consumed by separate actions.
     """
     fields = ddl_fields(ddl)
-    raw_ddl = ", ".join(f"{name} string" for name, _ in fields)
-    raw = read_csv(spark, path, raw_ddl, header=header, strict=False)
+    raw_ddl = ", ".join(f"{name} string" for name, _ in fields) + ", _record string"
+    raw = (
+        spark.read.schema(raw_ddl)
+        .option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_record")
+        .option("columnPruning", False)
+        .csv(path)
+    )
     typed = raw.select(
         *[F.col(n).alias(f"_raw_{n}") for n, _ in fields],
         *[_typed(F.col(n), t, date_format).alias(n) for n, t in fields],
+        "_record",
     )
-    bad = reduce(
-        lambda acc, c: acc | c,
-        [F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull() for n, _ in fields],
-    )
+    bad = reduce(lambda acc, c: acc | c, [F.col(n).isNull() for n, _ in fields], F.col("_record").isNotNull())
     good = typed.filter(~bad).select(*[n for n, _ in fields])
-    rejects = typed.filter(bad).select(*[F.col(f"_raw_{n}").alias(n) for n, _ in fields])
+    rejects = typed.filter(bad).select(*[F.col(f"_raw_{n}").alias(n) for n, _ in fields], "_record")
     return good, rejects
 
 

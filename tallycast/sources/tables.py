@@ -20,8 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.operators.joins import broadcast_if_small
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -62,10 +60,8 @@ def table(spark: SparkSession, base: str, name: str, infer: bool = False) -> Dat
 
 
 def _nation(spark: SparkSession, base: str) -> DataFrame:
-    """The area dimension, broadcast once its size is checked."""
-    return broadcast_if_small(
-        table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
-    )
+    """The area dimension; the planner broadcasts it under its byte threshold, AQE by its measured size."""
+    return table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("area"))
 
 
 def _orders_by_area(spark: SparkSession, base: str, orders: DataFrame, keep: list[str]) -> DataFrame:
@@ -73,8 +69,7 @@ def _orders_by_area(spark: SparkSession, base: str, orders: DataFrame, keep: lis
 
     orders is joined to customer first (the one large join: broadcast only when
     customer passes the planner's size check, otherwise sort-merge with AQE
-    splitting skewed keys), then to the area dimension (broadcast after a row
-    count check, so the joined rows never shuffle on a 25-valued key).
+    splitting skewed keys), then to the area dimension.
     """
     customer = table(spark, base, "customer").select(
         "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("band")

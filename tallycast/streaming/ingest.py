@@ -7,21 +7,19 @@ range are listed and read. Several drops may repeat a key (area, day,
 band, supplier); the pipelines sum rows per key (``merge_rows``), so appended
 deltas add up correctly without rewriting the table.
 
-Progress is tracked in a checkpoint under the shared checkpoint folder: a
-restarted or failed run resumes from the last committed file set.
+Progress is tracked in ``{table_dir}/_progress``: a restarted or failed run, in
+any application, resumes from the last committed file set.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallycast.functions.dates import date_lit, month_start
-from tallycast.session import checkpoint_dir
 from tallycast.sources.csv import DATE_FORMAT, ddl_fields
 
 
@@ -60,9 +58,8 @@ def ingest(
     batch-style runs); otherwise the query keeps running on new files.
     """
     if checkpoint is None:
-        # stable across processes, so a restarted job finds its progress
-        tag = hashlib.sha1(f"{source_dir}|{table_dir}".encode()).hexdigest()[:16]
-        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{tag}"
+        # beside the data (readers skip names with an underscore), so every later run finds it
+        checkpoint = f"{table_dir.rstrip('/')}/_progress"
     stream = feed_stream(spark, source_dir, ddl, header).withColumn("month", month_start(F.col(date_col)))
     writer = (
         stream.writeStream.format("parquet")

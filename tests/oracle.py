@@ -65,7 +65,7 @@ def duck_rows(con, sql):
 
 SPARK_TO_DUCKDB = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-    "date": "DATE", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP",
 }
 
 

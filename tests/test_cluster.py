@@ -18,7 +18,7 @@ def shares(spark):
 
 @pytest.fixture(scope="module")
 def sweep(shares):
-    return share_segments(shares).cache()
+    return share_segments(shares, restarts=1, canonical=False).cache()
 
 
 def _per_model(sweep):
@@ -103,7 +103,8 @@ def test_vector_sweep_on_embeddings(spark):
     assert out.count() == 2 * n
     per_model = out.groupBy("algorithm").agg(F.first("cost").alias("c"), F.first("wssse").alias("w")).collect()
     for r in per_model:
-        assert r.w == pytest.approx(r.c, rel=1e-6)
+        assert r.w <= r.c * (1 + 1e-6)  # k-means stopped by max_iter reports the cost before its last step
+        assert r.w == pytest.approx(r.c, rel=1e-3)
 
 
 def test_model_cost_on_new_data(spark, shares):
@@ -121,7 +122,7 @@ def test_model_cost_on_new_data(spark, shares):
 
 
 def test_kmeans_restarts_keep_the_best_seed(spark, shares):
-    one = {r.k: r.cost for r in share_segments(shares, algorithms=["kmeans"]).select("k", "cost").distinct().collect()}
+    one = {r.k: r.cost for r in share_segments(shares, algorithms=["kmeans"], restarts=1).select("k", "cost").distinct().collect()}
     many = {r.k: r.cost for r in share_segments(shares, algorithms=["kmeans"], restarts=4)
             .select("k", "cost").distinct().collect()}
     for k in (2, 3, 4, 5):
@@ -154,3 +155,15 @@ def test_centre_table_is_exact(spark):
     rows = cluster.centre_table(spark, [("kmeans", 2, Fitted())]).orderBy("cluster").collect()
     assert [r.centre for r in rows] == Fitted().clusterCenters()
     assert [(r.algorithm, r.k, r.cluster) for r in rows] == [("kmeans", 2, 0), ("kmeans", 2, 1)]
+
+
+def test_sweep_is_the_same_in_any_layout_and_reads_its_input_once(spark, shares):
+    got = []
+    for n in (1, 3, 8):
+        out = share_segments(shares.repartition(n))
+        got.append(sorted((r.algorithm, r.k, r.cost) for r in out.select("algorithm", "k", "cost").distinct().collect()))
+    assert got[0] == got[1] == got[2]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    best = {k: c for a, k, c in got[0] if a == "kmeans"}
+    assert best[2] == pytest.approx(0.005394964651850022, abs=1e-9)
