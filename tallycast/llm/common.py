@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,9 +34,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; it finds them by garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    release_shuffles(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
