@@ -121,18 +121,25 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
     win_first = np.concatenate([s + WINDOW * np.arange(k) for s, k, n in zip(doc_start, n_win, lens, strict=True) if n])
     win_doc = np.repeat(np.arange(len(lens)), np.where(np.array(lens) > 0, n_win, 0))
     win_len = np.diff(np.append(win_first, len(flat)))
-    bucket, first = subwords(list(index))
-    sub_len = np.diff(np.append(first, len(bucket))).astype(np.int32)
-    used, local = np.unique(bucket, return_inverse=True)
-    local = local.astype(np.int32)
-    del bucket
+    names, n_words = list(index), len(index)
+    del index
+    parts, sizes = [], []
+    for i in range(0, n_words, 20_000):  # in parts: the n-grams of all words at once would fill the driver
+        bucket, first = subwords(names[i : i + 20_000])
+        parts.append(bucket)
+        sizes.append(np.diff(np.append(first, len(bucket))).astype(np.int32))
+    del names
+    local, sub_len = np.concatenate(parts), np.concatenate(sizes)
+    del parts, sizes
+    first = np.cumsum(sub_len, dtype=np.int64) - sub_len
     # n-grams of fewer than MIN_DOCS sampled documents carry no evidence beyond their own document
-    word_doc = np.unique(np.repeat(np.arange(len(lens), dtype=np.int64), lens) * len(index) + flat)
-    word_df = np.bincount(word_doc % len(index), minlength=len(index))
-    common = np.bincount(local, np.repeat(word_df, sub_len), minlength=len(used)) >= MIN_DOCS
+    word_doc = np.unique(np.repeat(np.arange(len(lens), dtype=np.int64), lens) * n_words + flat)
+    word_df = np.bincount(word_doc % n_words, minlength=n_words)
+    del word_doc
+    common = np.bincount(local, np.repeat(word_df.astype(np.float32), sub_len), minlength=BUCKETS) >= MIN_DOCS
 
     rng = np.random.default_rng(SEED)
-    emb = (rng.standard_normal((len(used), DIM)) * 0.1 * common[:, None]).astype(np.float32)
+    emb = (rng.standard_normal((BUCKETS, DIM), dtype=np.float32) * 0.1 * common[:, None]).astype(np.float32)
     direction = (rng.standard_normal(DIM) * 0.5).astype(np.float32)
     bias = np.array([-5.0], np.float32)
     params = [emb, direction, bias]
@@ -150,8 +157,8 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
         # d loss / d s, with loss = -log(1 - exp(-s)) for toxic and s for clean documents
         ds = np.where(y, -1.0 / np.expm1(np.minimum(s, 50.0)), 1.0) * share
         dz = ds[win_doc] / (1.0 + np.exp(-z))
-        dword = np.bincount(flat, np.repeat(dz / win_len, win_len), minlength=len(index))
-        da = np.bincount(local, np.repeat(dword / sub_len, sub_len), minlength=len(used)).astype(np.float32)
+        dword = np.bincount(flat, np.repeat(dz / win_len, win_len), minlength=n_words)
+        da = np.bincount(local, np.repeat((dword / sub_len).astype(np.float32), sub_len), minlength=BUCKETS).astype(np.float32)
         da *= common
         grads = [da[:, None] * direction[None, :], emb.T @ da, np.array([dz.sum()], np.float32)]
         # momentum with one step size per tensor: evidence shared by many documents moves first,
@@ -162,9 +169,7 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
             grown = 1 - 0.9**step
             p *= 1.0 - rate * DECAY
             p -= rate * (moment[0] / grown) / (np.sqrt(moment[1] / grown) + 1e-12)
-    out = np.zeros(BUCKETS, np.float32)
-    out[used] = emb @ direction
-    return Model(out, float(bias[0]))
+    return Model((emb @ direction).astype(np.float32), float(bias[0]))
 
 
 class Scorer:
