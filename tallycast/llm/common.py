@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.session import scratch_path
+from tallycast.session import release_scratch, scratch_path
 
 # A word: a run of characters other than ASCII white space. In Python the same words come
 # from ``bytes.split()`` on the UTF-8 text.
@@ -40,13 +40,42 @@ def release_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``materialise`` with the path it wrote, for a caller that releases it."""
     spark = df.sparkSession
     release_shuffles(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
+    return stored(df, name)[0]
+
+
+class Scratch:
+    """Tables written on the way to a result, deleted together once the result itself is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        out, path = stored(df, name)
+        self.paths.setdefault(name, []).append(path)
+        return out
+
+    def replace(self, df: DataFrame, name: str) -> DataFrame:
+        """Store under a name and delete what was stored under it before."""
+        before = self.paths.pop(name, [])
+        out = self.store(df, name)
+        release_scratch(self.spark, before)
+        return out
+
+    def release(self) -> None:
+        for paths in self.paths.values():
+            release_scratch(self.spark, paths)
+        self.paths = {}
 
 
 def worker_state() -> dict:

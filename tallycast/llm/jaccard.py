@@ -34,13 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import connected_components, materialise, text_of
+from tallycast.llm.common import Scratch, connected_components, materialise, text_of
 from tallycast.llm.hashing import shingles, word_hashes
 
 SHINGLE = 4
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
+SLICES = 4  # pairs fetch their sets in this many steps, so that a step's shuffle holds a part of them
 
 
 def shingle_set(text: str, size: int) -> np.ndarray:
@@ -196,7 +197,7 @@ def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, size: int = SH
     return texts.mapInPandas(run, "node long, hashes binary").dropDuplicates(["node"])
 
 
-def measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def measure(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b, inter, total) of (a, b) pairs: intersection and union size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,9 +213,13 @@ def measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     x = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInPandas(
-        run, "a long, b long, inter long, total long"
-    )
+    out = None
+    for i in range(SLICES):
+        mine = F.pmod(F.xxhash64("a"), F.lit(SLICES)) == i
+        met = pairs.filter(mine).join(y, "b").join(x.filter(mine), "a").select("a", "b", "x", "y")
+        part = scratch.store(met.mapInPandas(run, "a long, b long, inter long, total long"), "measured")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _pairs(rows: DataFrame, left: str, right: str, percent: int) -> DataFrame:
@@ -236,25 +241,28 @@ def link(docs: DataFrame, known: DataFrame, size: int = SHINGLE, percent: int =
     no pair is left out; round 1 only looks at one cell in eight, as near copies share most
     of their cells and one comparison settles all of those.
     """
-    rows = materialise(members(cells(docs, heat(docs, size), size, percent)), "cells")
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.store(members(cells(docs, heat(docs, size), size, percent)), "cells")
     linked = 100 * F.col("inter") >= percent * F.col("total")
     sets = None
     wanted = _pairs(rows, "m", "p", percent)
     measured = None
     pivots, every = 1, 1
     while True:
-        pairs = materialise(wanted, "pairs")
+        pairs = scratch.replace(wanted, "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         fresh = ends if sets is None else ends.join(sets, "node", "left_anti")
-        fresh = materialise(sets_of(docs, known, fresh, size), "sets")
+        fresh = scratch.store(sets_of(docs, known, fresh, size), "sets")
         sets = fresh if sets is None else sets.unionByName(fresh)
-        now = materialise(measure(pairs, sets), "measured")
+        now = measure(pairs, sets, scratch)
         measured = now if measured is None else measured.unionByName(now)
         links = measured.filter(linked).select("a", "b")
-        parts = materialise(connected_components(links), "parts")
-        rows = materialise(_unsettled(rows, parts, pivots if every == 1 and pivots > 1 else 0), "cells")
+        parts = scratch.replace(connected_components(links), "parts")
+        rows = scratch.replace(_unsettled(rows, parts, pivots if every == 1 and pivots > 1 else 0), "cells")
         largest = rows.agg(F.max("k")).first()[0]
         if largest is None:
+            links = materialise(links, "links")
+            scratch.release()
             return links
         every = 8 if pivots == 1 else 1
         pivots *= 8
@@ -288,7 +296,7 @@ def _next_pairs(rows: DataFrame, measured: DataFrame, pivots: int, every: int, p
 def components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, tie, node, part) for every row; ``part`` names the component by a node."""
     known = materialise(nodes(docs, size), "nodes")
-    roots = connected_components(materialise(link(docs, known, size, percent), "links"))
+    roots = connected_components(link(docs, known, size, percent))
     joined = known.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
     least = joined.filter("node <> 0").groupBy("part").agg(F.min("doc_id").alias("least"))
     return joined.join(least, "part", "left").select(
