@@ -1,6 +1,7 @@
 """Cases in which a part of the job was once left out."""
 
-from tallycast.llm import passages
+import corpus_pipeline
+from tallycast.llm import decontaminate, jaccard, mixing, passages
 
 WORDS = [f"w{i}x{i * i % 97}" for i in range(4000)]
 
@@ -16,3 +17,10 @@ def rows_of(df):
 def test_passages_of_several_classes_stay_apart(documents):
     texts = [text((0, 70), (200, 240)), text((300, 340), (100, 170)), text((0, 70), (100, 170))]
     assert rows_of(passages.passages(documents(texts, ids=[1, 5, 9]))) == {(1, 0, 70, 1), (9, 0, 70, 1), (5, 40, 110, 5), (9, 70, 140, 5)}
+
+
+def test_pipeline_links_five_words_at_80_percent(spark, documents):
+    # 97 of 118 4-word shingles and 96 of 117 5-word ones are shared: 0.82, under the 85 percent of op4
+    docs = documents([text((0, 100)), text((0, 100), (200, 221)), text((1000, 1100))])
+    assert [r.doc_id for r in corpus_pipeline.one_per_group(spark, docs, "").orderBy("doc_id").collect()] == [0, 2]
+    assert len({r.component_id for r in jaccard.components(docs).collect()}) == 3
