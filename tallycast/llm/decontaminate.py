@@ -17,7 +17,7 @@ Documents are read whole, long ones in overlapping slices.
 
 Null or empty documents and items match nothing; neither do items shorter than Q characters
 after normalising, and items shorter than SEGMENT are one segment. Repeated documents and
-items are reported each. Only ids and texts are read.
+items are reported each, those without an id with a null id. Only ids and texts are read.
 """
 
 from __future__ import annotations
@@ -215,14 +215,17 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id") -> Iterator[list[tuple
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     for b in range(n):
-        yield sorted((r["i"], r["t"]) for r in items.filter(F.pmod(F.xxhash64("t"), F.lit(n)) == b).collect() if r["i"] is not None)
+        rows = [(r["i"], r["t"]) for r in items.filter(F.pmod(F.xxhash64("t"), F.lit(n)) == b).collect()]
+        yield sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and benchmark item found in it (MATCHES)."""
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """MATCHES and ``tie``, the hash of the document's text."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    out = spark.createDataFrame([], MATCHES)
+    text = text_of("text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    schema = f"tie long, {MATCHES}"
+    out = spark.createDataFrame([], schema)
     for block in blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
 
@@ -230,16 +233,26 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             index = None
             for pdf in batches:
                 index = index or Index(shared.value)
-                rows = [(d, *m) for d, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True) for m in index.match(t)]
+                each = zip(pdf["tie"], pdf["doc_id"].astype("Int64"), pdf["text"], strict=True)
+                rows = [(h, d, *m) for h, d, t in each for m in index.match(t)]
                 if rows:
-                    columns = ["doc_id", "item_id", "edits", "length", "segments", "start", "end"]
-                    yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                    columns = ["tie", "doc_id", "item_id", "edits", "length", "segments", "start", "end"]
+                    yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "item_id": "Int64"})
 
-        out = out.union(texts.mapInPandas(run, MATCHES))
+        out = out.union(texts.mapInPandas(run, schema))
     return out
 
 
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document and benchmark item found in it (MATCHES)."""
+    return _found(docs, benchmark).drop("tie")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item was found, all columns kept."""
-    bad = matches(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents in which no benchmark item was found, all columns kept.
+
+    Rows are judged by their own text: others with the same id, or no id either, stay.
+    """
+    bad = _found(docs, benchmark).select(F.col("doc_id").alias("_bad"), F.col("tie").alias("_tie")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")) & (F.xxhash64(text_of("text")) == F.col("_tie"))
+    return docs.join(bad, same, "left_anti")

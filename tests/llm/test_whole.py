@@ -19,6 +19,15 @@ def test_passages_of_several_classes_stay_apart(documents):
     assert rows_of(passages.passages(documents(texts, ids=[1, 5, 9]))) == {(1, 0, 70, 1), (9, 0, 70, 1), (5, 40, 110, 5), (9, 70, 140, 5)}
 
 
+def test_decontamination_judges_rows_not_ids(spark, documents):
+    bench = spark.createDataFrame([(None, text((0, 30))), (3, text((100, 130)))], "item_id long, text string")
+    texts = [text((0, 40)), text((200, 240)), text((90, 140)), text((300, 340)), text((400, 440))]
+    docs = documents(texts, ids=[None, None, 7, 7, 8])
+    assert sorted(r.text for r in decontaminate.decontaminate(docs, bench).collect()) == sorted(texts[i] for i in (1, 3, 4))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()}
+    assert found == {(None, None), (7, 3)}
+
+
 def test_pipeline_links_five_words_at_80_percent(spark, documents):
     # 97 of 118 4-word shingles and 96 of 117 5-word ones are shared: 0.82, under the 85 percent of op4
     docs = documents([text((0, 100)), text((0, 100), (200, 221)), text((1000, 1100))])
