@@ -3,7 +3,7 @@
 Each source's documents, in a fixed pseudorandom order, form one stream of words cut into
 blocks of ``block_words``. The mixture is a sequence of slots, one block each, dealt to
 output shards: every shard's source counts are a multinomial draw conditioned on the
-sources' remaining slots, so the totals hit the targets to one block while shards vary as a
+sources' remaining slots, so the totals hit the targets to about one block while shards vary as a
 multinomial does. Slot j of a source shows block perm(j mod n) of its n blocks, with a
 seeded pseudorandom permutation per pass over the source; blocks and slots meet in a join
 on (source, block index). No block is shown more than MAX_REPEATS times.
@@ -61,7 +61,8 @@ def source_plan(sized: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORD
     sizes = [int(r["size"]) for r in rows]
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(rows))])
     blocks = [-(-s // block_words) for s in sizes]
-    slots = [min(MAX_REPEATS * b, round(t / block_words)) for t, b in zip(targets, blocks, strict=True)]
+    # a source's last block may be short, so slots are passes over its blocks, not words
+    slots = [min(MAX_REPEATS * b, round(b * t / s)) if s else 0 for t, b, s in zip(targets, blocks, sizes, strict=True)]
     return pd.DataFrame(
         {
             "rank": range(len(rows)), "source": [r["source"] for r in rows], "source_size": sizes,

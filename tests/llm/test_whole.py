@@ -28,6 +28,15 @@ def test_decontamination_judges_rows_not_ids(spark, documents):
     assert found == {(None, None), (7, 3)}
 
 
+def test_small_sources_reach_their_targets(documents):
+    sizes = {"s0": 5, "s1": 10, "s2": 100, "s3": 3000, "s4": 9000}
+    docs = documents([text((0, n)) if n <= 4000 else text((0, 4000), (0, 4000), (0, 1000)) for n in sizes.values()], sources=list(sizes))
+    rows = {r.source: r for r in mixing.mix(docs).collect()}
+    for s in ("s0", "s1"):
+        assert rows[s].target == rows[s].taken == 3 * sizes[s]
+    assert all(abs(r.taken - r.target) <= 64 for r in rows.values())
+
+
 def test_pipeline_links_five_words_at_80_percent(spark, documents):
     # 97 of 118 4-word shingles and 96 of 117 5-word ones are shared: 0.82, under the 85 percent of op4
     docs = documents([text((0, 100)), text((0, 100), (200, 221)), text((1000, 1100))])
