@@ -42,3 +42,14 @@ def test_pipeline_links_five_words_at_80_percent(spark, documents):
     docs = documents([text((0, 100)), text((0, 100), (200, 221)), text((1000, 1100))])
     assert [r.doc_id for r in corpus_pipeline.one_per_group(spark, docs, "").orderBy("doc_id").collect()] == [0, 2]
     assert len({r.component_id for r in jaccard.components(docs).collect()}) == 3
+
+
+def test_near_passages_with_exact_copies_are_linked(documents):
+    a = WORDS[:90]
+    b = [*a[:45], "changed", *a[46:]]
+    texts = [
+        " ".join([*WORDS[900 * k + 200 : 900 * k + 260], *p, *WORDS[900 * k + 300 : 900 * k + 360]])
+        for k, p in enumerate((a, a, b, b))
+    ]
+    rows = passages.passages(documents(texts, ids=[1, 2, 3, 4])).collect()
+    assert any(r.doc_id in (3, 4) and r.first_doc_id in (1, 2) for r in rows)
