@@ -1,5 +1,7 @@
 """Cases in which a part of the job was once left out."""
 
+import numpy as np
+
 import corpus_pipeline
 from tallycast.llm import decontaminate, jaccard, mixing, passages
 
@@ -11,12 +13,16 @@ def text(*parts):
 
 
 def rows_of(df):
-    return {(r.doc_id, r.start_word, r.end_word, r.first_doc_id) for r in df.collect()}
+    return {(r.doc_id, r.first_doc_id): (r.start_word, r.end_word) for r in df.collect()}
 
 
 def test_passages_of_several_classes_stay_apart(documents):
     texts = [text((0, 70), (200, 240)), text((300, 340), (100, 170)), text((0, 70), (100, 170))]
-    assert rows_of(passages.passages(documents(texts, ids=[1, 5, 9]))) == {(1, 0, 70, 1), (9, 0, 70, 1), (5, 40, 110, 5), (9, 70, 140, 5)}
+    got = rows_of(passages.passages(documents(texts, ids=[1, 5, 9])))
+    want = {(1, 1): (0, 70), (9, 1): (0, 70), (5, 5): (40, 110), (9, 5): (70, 140)}
+    assert set(got) == set(want)
+    for k, (lo, hi) in want.items():  # near subsequences reach at most five words further
+        assert lo - 5 <= got[k][0] <= lo and hi <= got[k][1] <= hi + 5
 
 
 def test_decontamination_judges_rows_not_ids(spark, documents):
@@ -53,3 +59,49 @@ def test_near_passages_with_exact_copies_are_linked(documents):
     ]
     rows = passages.passages(documents(texts, ids=[1, 2, 3, 4])).collect()
     assert any(r.doc_id in (3, 4) and r.first_doc_id in (1, 2) for r in rows)
+
+
+def _frames(seqs):
+    """Inputs of passages.solve for the runs of some documents, under every function."""
+    out = []
+    for d, s in enumerate(seqs):
+        padded = np.concatenate([np.zeros(passages.WIDTH, np.uint64), s, np.zeros(passages.WIDTH, np.uint64)])
+        for f in range(passages.FUNCTIONS):
+            v, c, a, b, run = passages._runs(s, f)
+            for i in range(len(v)):
+                frame = (padded[c[i] + 1 : c[i] + 1 + passages.FRAME] >> np.uint64(32)).astype(np.uint32)
+                out.append((v[i].view(np.int64), run[i].view(np.int64), d, c[i], a[i], b[i], frame))
+    v, run, doc, at, lo, hi, frame = (np.array(x) for x in zip(*out, strict=True))
+    return v, v, run, doc, doc, at, lo, hi, frame
+
+
+def test_near_passages_against_brute_force():
+    rng = np.random.default_rng(11)
+    pairs, seqs = 150, []
+    for k in range(pairs):  # one passage of 50 words, one word changed, in two otherwise different documents
+        words = rng.integers(0, 1 << 40, 50)
+        for copy in range(2):
+            p = words.copy()
+            p[24] += copy
+            seqs.append(passages.sequence(" ".join(map(str, [*rng.integers(0, 1 << 40, 70), *p, *rng.integers(0, 1 << 40, 70)]))))
+    got = passages.solve(*_frames(seqs))
+    linked = {f for f in got["first"][got["doc"] != got["first"]]}
+    assert linked <= {2 * k for k in range(pairs)}
+    assert len(linked) >= 0.97 * pairs
+    assert set(got["lo"] + got["begin"]) == set(got["lo"] + got["end"]) == {70}
+
+
+def test_verified_places_against_sets():
+    rng = np.random.default_rng(12)
+    x = np.stack([rng.permutation(500)[: passages.FRAME] for _ in range(200)]).astype(np.uint64)
+    y = x.copy()
+    for row in y:
+        at = rng.integers(0, passages.FRAME, rng.integers(0, 16))
+        row[at] = rng.integers(500, 5000) + np.arange(len(at))
+    y[100:] = np.roll(y[100:], 1, axis=1)
+    got = passages._near_distinct(x, y)
+    assert (got == passages._near_sets(x, y)).all() and 0 < got.sum() < got.size
+    for i in (0, 7, 150):
+        for f in range(passages.WIDTH):
+            p, q = set(x[i, f : f + passages.WIDTH].tolist()), set(y[i, f : f + passages.WIDTH].tolist())
+            assert got[i, f] == (100 * len(p & q) >= 80 * len(p | q))
