@@ -105,3 +105,17 @@ def test_verified_places_against_sets():
         for f in range(passages.WIDTH):
             p, q = set(x[i, f : f + passages.WIDTH].tolist()), set(y[i, f : f + passages.WIDTH].tolist())
             assert got[i, f] == (100 * len(p & q) >= 80 * len(p | q))
+
+
+def test_passages_are_found_at_all_places_of_a_repeated_section(documents):
+    section = text((0, 200))
+    texts = [f"{section} {text((300, 340))} {section}", f"{text((400, 440))} {text((60, 120))} {text((500, 540))}"]
+    got = {}
+    for r in passages.passages(documents(texts[:2], ids=[4, 6])).collect():
+        got.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    assert len(got[4]) == 2 and len(got[6]) == 1
+    for begin, end in got[4]:
+        assert any(0 <= p + 60 - begin <= 5 and 0 <= end - p - 120 <= 5 for p in (0, 240))
+    rows = passages.passages(documents([texts[1], f"{text((600, 700))} {section}"] * 2, ids=[6, 7, None, None])).collect()
+    assert {r.doc_id < passages.NO_ID for r in rows} == {True, False}
+    assert len({r.doc_id for r in rows}) == 4 and {r.first_doc_id for r in rows if r.doc_id >= passages.NO_ID} >= {6, 7}
