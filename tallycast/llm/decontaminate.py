@@ -11,8 +11,10 @@ ones are counted per item and band of diagonals - bands of twice that width, hal
 overlapping, so one always holds the whole alignment - and only segments whose count reaches
 the bound go to the banded alignment that verifies them.
 
-The benchmark is split by a hash into blocks of about BLOCK_CHARS characters; each block is
-one bounded broadcast and one pass over the documents, however large the benchmark grows.
+The benchmark's distinct texts, long ones in pieces of PIECE_CHARS that hold the same segments,
+are split by a hash into blocks of about BLOCK_CHARS characters; each block is one bounded
+broadcast and one pass over the documents, however large the benchmark grows and however often
+it repeats a text. The ids of a text's items are joined to what was found.
 Documents are read whole, long ones in overlapping slices.
 
 Null or empty documents and items match nothing; neither do items shorter than Q characters
@@ -29,12 +31,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import text_of
+from tallycast.llm.common import materialise, text_of
 
 Q = 8
 SEGMENT = 64
 EDIT_SHARE = 0.1
 BLOCK_CHARS = 1_000_000
+PIECE_CHARS = 1 << 16       # a multiple of SEGMENT // 2
 SLICE_CHARS = 1_000_000
 MAP_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -66,10 +69,10 @@ def edit_budget(m: int) -> int:
 
 
 class Index:
-    """The q-grams and segments of one block of the benchmark."""
+    """The q-grams and segments of one block of the benchmark; ``ready`` texts are normalised and keep their outer spaces."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, codes(normalise(t or ""))) for i, t in items]
+    def __init__(self, items: list[tuple], ready: bool = False):
+        self.items = [(i, codes(t if ready else normalise(t or ""))) for i, t in items]
         self.items = [(i, c) for i, c in self.items if len(c) >= Q]
         hashes = [qgrams(c) for _, c in self.items]
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -209,35 +212,60 @@ def align(c: np.ndarray, segments: list[tuple[np.ndarray, int]], k: int) -> tupl
     return row[np.arange(len(seg)), best], lo + m + best
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id") -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of about BLOCK_CHARS characters, one at a time on the driver."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("i"), text_of("text").alias("t")).filter("t <> ''")
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
+def pieces(text: str) -> list[str]:
+    """A normalised text in parts that together have its segments, and no others."""
+    n = max(0, len(text) - SEGMENT) // PIECE_CHARS + 1
+    cuts = [(k * PIECE_CHARS, (k + 1) * PIECE_CHARS + SEGMENT // 2 if k < n - 1 else len(text)) for k in range(n)]
+    return [text[a:b] for a, b in cuts]
+
+
+def distinct_pieces(items: DataFrame) -> DataFrame:
+    """(key, piece, text, chars) of the distinct texts of (i, key, t), normalised."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for key, t in zip(pdf["key"], pdf["t"], strict=True):
+                parts = pieces(normalise(t))
+                yield pd.DataFrame({"key": key, "piece": range(len(parts)), "text": parts, "chars": [len(x) for x in parts]})
+
+    texts = items.groupBy("key").agg(F.first("t").alias("t"))
+    return materialise(texts.mapInPandas(cut, "key long, piece int, text string, chars long"), "benchmark-pieces")
+
+
+def blocks(parts: DataFrame) -> Iterator[list[tuple[tuple[int, int], str]]]:
+    """The pieces in blocks of about BLOCK_CHARS characters, one at a time on the driver."""
+    chars = parts.agg(F.sum("chars")).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     for b in range(n):
-        rows = [(r["i"], r["t"]) for r in items.filter(F.pmod(F.xxhash64("t"), F.lit(n)) == b).collect()]
-        yield sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        rows = parts.filter(F.pmod(F.xxhash64("key", "piece"), F.lit(n)) == b).collect()
+        yield sorted(((r["key"], r["piece"]), r["text"]) for r in rows)
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    t = text_of("text")
+    return benchmark.select(F.col("item_id").cast("long").alias("i"), F.xxhash64(t).alias("key"), t.alias("t")).filter("t <> ''")
 
 
-def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """MATCHES and ``tie``, the hash of the document's text."""
+def _found_in(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(tie, doc_id, key, piece, edits, length, segments, start, end): one row per document row and piece found in it;
+    ``tie`` is the hash of the document's text."""
     spark = docs.sparkSession
     text = text_of("text")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    schema = f"tie long, {MATCHES}"
+    schema = "tie long, doc_id long, key long, piece int, edits int, length int, segments int, start long, end long"
     out = spark.createDataFrame([], schema)
-    for block in blocks(benchmark):
+    for block in blocks(parts):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = None
             for pdf in batches:
-                index = index or Index(shared.value)
+                index = index or Index(shared.value, ready=True)
                 each = zip(pdf["tie"], pdf["doc_id"].astype("Int64"), pdf["text"], strict=True)
-                rows = [(h, d, *m) for h, d, t in each for m in index.match(t)]
+                rows = [(h, d, *k, *m) for h, d, t in each for k, *m in index.match(t)]
                 if rows:
-                    columns = ["tie", "doc_id", "item_id", "edits", "length", "segments", "start", "end"]
-                    yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "item_id": "Int64"})
+                    columns = ["tie", "doc_id", "key", "piece", "edits", "length", "segments", "start", "end"]
+                    yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
         out = out.union(texts.mapInPandas(run, schema))
     return out
@@ -245,7 +273,30 @@ def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item found in it (MATCHES)."""
-    return _found(docs, benchmark).drop("tie")
+    items = _items(benchmark)
+    parts = distinct_pieces(items)
+    found = _found_in(docs, parts)
+    long_ = parts.filter("piece > 0").select("key").distinct()
+    if not long_.isEmpty():
+        found = _whole_texts(found, long_)
+    return found.join(items.select("key", F.col("i").alias("item_id")), "key").select(
+        "doc_id", "item_id", "edits", "length", "segments", "start", "end"
+    )
+
+
+def _whole_texts(found: DataFrame, long_: DataFrame) -> DataFrame:
+    """One row per document row and text for texts of several pieces."""
+    row = ["tie", "doc_id", "key"]
+    measures = ["edits", "length", "segments", "start", "end"]
+    # copies of a document row find the same, so each piece is counted as often as there are copies
+    once = found.join(long_, "key").groupBy(*row, "piece", *measures).agg(F.count(F.lit(1)).alias("copies"))
+    best = F.min(F.struct("edits", "length"))
+    whole = once.groupBy(*row).agg(
+        best["edits"].alias("edits"), best["length"].alias("length"), F.sum("segments").cast("int").alias("segments"),
+        F.min("start").alias("start"), F.max("end").alias("end"), F.max("copies").alias("copies"),
+    )
+    each = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return found.join(long_, "key", "left_anti").select(*row, *measures).union(each.select(*row, *measures))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -253,6 +304,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Rows are judged by their own text: others with the same id, or no id either, stay.
     """
-    bad = _found(docs, benchmark).select(F.col("doc_id").alias("_bad"), F.col("tie").alias("_tie")).distinct()
+    bad = _found_in(docs, distinct_pieces(_items(benchmark))).select(F.col("doc_id").alias("_bad"), F.col("tie").alias("_tie")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")) & (F.xxhash64(text_of("text")) == F.col("_tie"))
     return docs.join(bad, same, "left_anti")

@@ -119,3 +119,27 @@ def test_passages_are_found_at_all_places_of_a_repeated_section(documents):
     rows = passages.passages(documents([texts[1], f"{text((600, 700))} {section}"] * 2, ids=[6, 7, None, None])).collect()
     assert {r.doc_id < passages.NO_ID for r in rows} == {True, False}
     assert len({r.doc_id for r in rows}) == 4 and {r.first_doc_id for r in rows if r.doc_id >= passages.NO_ID} >= {6, 7}
+
+
+def test_repeated_and_long_benchmark_items(spark, documents, monkeypatch):
+    long = decontaminate.normalise(text((0, 400)))
+    monkeypatch.setattr(decontaminate, "PIECE_CHARS", 512)
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 2000)
+
+    def starts(t):
+        return {t[s : s + 64] for s in (*range(0, len(t) - 63, 32), len(t) - 64)}
+
+    for n in (64, 100, 575, 576, 577, 1100, len(long)):
+        cut = decontaminate.pieces(long[:n])
+        assert set().union(*map(starts, cut)) == starts(long[:n]) and max(map(len, cut)) < 512 + 64
+    rows = [(i, text((500, 530))) for i in range(200)] + [(None, text((500, 530))), (900, long), (901, text((600, 630)))]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    sizes = [sum(len(t) for _, t in b) for b in decontaminate.blocks(decontaminate.distinct_pieces(decontaminate._items(bench)))]
+    assert max(sizes) < 4 * 2000
+    docs = documents([text((490, 540)), text((0, 410)), text((0, 410)), text((700, 800))], ids=[1, 2, 2, 3])
+    got = decontaminate.matches(docs, bench).collect()
+    assert sorted(r.item_id for r in got if r.doc_id == 1 and r.item_id is not None) == list(range(200))
+    assert sum(r.item_id is None for r in got) == 1
+    whole = [r for r in got if r.doc_id == 2]
+    assert [(r.item_id, r.edits, r.start, r.end) for r in whole] == [(900, 0, 0, len(long))] * 2
+    assert whole[0].segments == len(starts(long))
