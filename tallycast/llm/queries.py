@@ -9,11 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import chat, decontaminate, jaccard, mixing, passages, quality, rans, substrings, toxicity, urls
+from tallycast.llm import (
+    alignment, chat, decontaminate, jaccard, language, mixing, passages, quality, rans, substrings, toxicity, urls, variants,
+)
 from tallycast.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) = 2"
+HELD_OUT_LANG = "pmod(crc32(cast(doc_id as string)), 5) = 0"
 URL_RULES = (
     # fixed values: host, path, verdict
     ("org", "/", "allow"),
@@ -24,10 +28,10 @@ URL_RULES = (
 )
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +104,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(read_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECES))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.expr(HELD_OUT_LANG), F.lit(False))
+    model = language.train(docs.filter(~held_out).select("lang", "text"))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_rans_tokens": op2_rans_tokens,
@@ -111,6 +130,9 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_url_rules": op9_url_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_align_tokens": op11_align_tokens,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_language_id": op13_language_id,
 }
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
