@@ -3,10 +3,12 @@
 Models are ``pyspark.ml`` estimators: every training iteration is a distributed
 aggregate over the feature rows, and only the k centres live on the driver.
 
-* ``cluster_sweep`` fits every (algorithm, k) of a grid on one feature frame,
-  which is checkpointed to the shared folder (lineage cut, so a lost executor
-  re-reads features instead of recomputing the upstream pipeline) and kept
-  cached while the models train.
+* ``fit_sweep`` fits every (algorithm, k) of a grid on one feature frame, stored
+  once in a canonical layout (lineage cut, so a lost executor re-reads features
+  instead of recomputing the upstream pipeline) and cached while the models
+  train; ``cluster_sweep`` gives its rows. ``intervals`` has the exact form for one dimension.
+* ``nearest_centre`` recomputes distances from the centre table, ``split_tree`` shows how
+  bisecting split, ``timed_fits`` how long each model trains.
 * ``assignment_cost`` is WSSSE as a plain aggregate: rows joined to their
   centre, squared distance summed per model. The centre table has one row per
   (model, cluster), bounded by the grid, so it is broadcast; the sweep runs it
@@ -19,8 +21,10 @@ aggregate over the feature rows, and only the k centres live on the driver.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.util import inheritable_thread_target
@@ -28,10 +32,10 @@ from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallycast.session import checkpoint_dir
+from tallycast.session import checkpoint_dir, scratch_path
 
 ALGORITHMS = ("kmeans", "bisecting")
 DEFAULT_KS = (2, 3, 4, 5)
@@ -165,7 +169,85 @@ def model_cost(
     return assignment_cost(assigned, centres, features_col=features_col, name=name).select(name)
 
 
-def cluster_sweep(
+@dataclass
+class Sweep:
+    """A fitted grid: the feature rows it was trained on, and a model per (algorithm, k)."""
+
+    data: DataFrame
+    keep: list[str]
+    features_col: str
+    fitted: list[tuple[str, int, object]]
+    wssse: dict[tuple[str, int], float]
+
+    def predicted(self) -> DataFrame:
+        """The feature rows with one prediction column ``_cluster<i>`` per model, in one pass."""
+        wide = self.data
+        for i, (_, _, model) in enumerate(self.fitted):
+            wide = model.copy({model.predictionCol: f"_cluster{i}"}).transform(wide)
+        return wide
+
+    def _per_model(self, *more) -> Column:
+        return F.array(*[
+            F.struct(
+                F.lit(a).alias("algorithm"), F.lit(k).cast("int").alias("k"),
+                F.col(f"_cluster{i}").cast("int").alias("cluster"), *[f(a, k, model) for f in more],
+            )
+            for i, (a, k, model) in enumerate(self.fitted)
+        ])
+
+    def assigned(self, *keep: str) -> DataFrame:
+        """(keep..., algorithm, k, cluster): every row once per model."""
+        return self.predicted().select(*keep, F.inline(self._per_model()))
+
+    def rows(self) -> DataFrame:
+        """(algorithm, k, keep..., cluster, cost, wssse): one scan of the rows, lazy."""
+        models = self._per_model(
+            lambda a, k, model: F.lit(float(model.summary.trainingCost)).alias("cost"),
+            lambda a, k, model: F.lit(self.wssse[a, k]).alias("wssse"),
+        )
+        wide = self.predicted().select(*self.keep, F.inline(models))
+        return wide.select("algorithm", "k", *self.keep, "cluster", "cost", "wssse")
+
+    def centres(self) -> DataFrame:
+        """(algorithm, k, cluster, centre array<double>)."""
+        return centre_table(self.data.sparkSession, self.fitted)
+
+    def split_trees(self) -> DataFrame:
+        """(k, node, parent, size, cost, centre, leaf) of the bisecting models."""
+        spark, out = self.data.sparkSession, None
+        for a, k, model in self.fitted:
+            if a == "bisecting":
+                tree = split_tree(spark, model).select(F.lit(k).cast("int").alias("k"), "*")
+                out = tree if out is None else out.unionByName(tree)
+        return spark.createDataFrame([], TREE_SCHEMA) if out is None else out
+
+
+def laid_out(df: DataFrame, keys: Sequence[str], rows_per_file: int = LAYOUT_ROWS) -> DataFrame:
+    """Rows dealt and sorted by ``keys``, in files of about ``rows_per_file``.
+
+    Training adds up in row order, so one layout gives one result whatever partitioning the
+    rows came in. Write it once (``store_layout``) and any later sweep trains without a shuffle.
+    """
+    files = max(1, -(-df.count() // rows_per_file))
+    return df.repartition(files, *keys).sortWithinPartitions(*keys)
+
+
+def store_layout(df: DataFrame, keys: Sequence[str], path: str, rows_per_file: int = LAYOUT_ROWS) -> DataFrame:
+    """``laid_out`` written as parquet and read back."""
+    laid_out(df, keys, rows_per_file).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cluster_sweep(features: DataFrame, keep: Sequence[str], *args, **kwargs) -> DataFrame:
+    """The rows of ``fit_sweep``: one per (algorithm, k, input row) (M7).
+
+    Columns: algorithm, k, ``keep``..., cluster, cost (training cost), wssse (cost of the whole
+    input under the model). Training runs now; the rows are lazy, one scan for all models.
+    """
+    return fit_sweep(features, keep, *args, **kwargs).rows()
+
+
+def fit_sweep(
     features: DataFrame,
     keep: Sequence[str],
     ks: Sequence[int] = DEFAULT_KS,
@@ -177,26 +259,22 @@ def cluster_sweep(
     cut_lineage: bool = True,
     restarts: int = DEFAULT_RESTARTS,
     canonical: bool = True,
-) -> DataFrame:
-    """Fit every (algorithm, k) and return one row per (algorithm, k, input row) (M7).
+) -> Sweep:
+    """Fit every (algorithm, k), up to ``parallelism`` models at a time.
 
-    Columns: algorithm, k, ``keep``..., cluster, cost (training cost), wssse
-    (cost of the whole input under the model). Training runs now, up to
-    ``parallelism`` models at a time (each fit is its own series of Spark jobs,
-    as in ``CrossValidator``), and the WSSSE of all models is one aggregate job
-    over the cached features; the returned rows are lazy, one pass for all models.
+    Each fit is its own series of Spark jobs, as in ``CrossValidator``; the WSSSE of all models is one
+    aggregate over the cached features.
 
-    ``cut_lineage`` checkpoints the features first -- worth it when they come
-    out of joins and aggregations; for a plain projection of a stored table
-    (``False``) recomputing a lost partition is just a re-read.
+    ``canonical`` stores the rows once in the layout of ``laid_out`` under the shared scratch folder;
+    training and the returned rows read that table, without a shuffle. ``False`` trains in the given
+    layout, for rows that are stored laid out already.
 
-    ``restarts`` > 1 fits k-means from that many seeds (``seed``, ``seed + 1``,
-    ...) and keeps the model with the lowest training cost per k; k-means only
-    finds a local optimum from any one start.
+    ``cut_lineage`` checkpoints the features first -- worth it when they come out of joins and
+    aggregations; for a plain projection of a stored table (``False``) recomputing a lost
+    partition is just a re-read.
 
-    ``canonical`` lays the rows out by ``keep`` in partitions of about LAYOUT_ROWS
-    first: training adds up in row order, so given rows then give one result
-    whatever partitioning they came in; ``False`` trains in the given layout.
+    ``restarts`` > 1 fits k-means from that many seeds (``seed``, ``seed + 1``, ...) and keeps the
+    model with the lowest training cost per k; k-means only finds a local optimum from any one start.
     """
     spark = features.sparkSession
     data = features.select(*keep, features_col)
@@ -204,8 +282,7 @@ def cluster_sweep(
         checkpoint_dir(spark)
         data = data.checkpoint(eager=True)
     if canonical:
-        partitions = max(1, -(-data.count() // LAYOUT_ROWS))
-        data = data.repartition(partitions, *keep).sortWithinPartitions(*keep)
+        data = store_layout(data, keep, scratch_path(spark, "sweep"))
     data.persist(StorageLevel.MEMORY_AND_DISK)
     data.count()  # materialise once, before the concurrent fits read it
     base_seed = DEFAULT_KMEANS_SEED if seed is None else seed
@@ -231,29 +308,77 @@ def cluster_sweep(
             key = (algo, k)
             if key not in best or model.summary.trainingCost < best[key].summary.trainingCost:
                 best[key] = model
-        fitted = [(algo, k, model) for (algo, k), model in best.items()]
+        sweep = Sweep(data, list(keep), features_col, [(algo, k, model) for (algo, k), model in best.items()], {})
+        sweep.wssse = _sweep_wssse(sweep.assigned(features_col), sweep.fitted, features_col)
+    finally:
+        data.unpersist()
+    return sweep
 
-        # every model adds its prediction to one pass over the rows
-        wide = data
-        for i, (_, _, model) in enumerate(fitted):
-            wide = model.copy({model.predictionCol: f"_cluster{i}"}).transform(wide)
-        models = F.array(*[
-            F.struct(F.lit(a).alias("algorithm"), F.lit(k).cast("int").alias("k"),
-                     F.col(f"_cluster{i}").cast("int").alias("cluster"))
-            for i, (a, k, _) in enumerate(fitted)
-        ])
-        wssse = _sweep_wssse(wide.select(features_col, F.inline(models)), fitted, features_col)
+
+def timed_fits(
+    features: DataFrame,
+    ks: Sequence[int] = DEFAULT_KS,
+    algorithms: Sequence[str] = ALGORITHMS,
+    max_iter: int = DEFAULT_MAX_ITER,
+    seed: int | None = None,
+    features_col: str = "features",
+) -> DataFrame:
+    """(algorithm, k, seconds, iterations, cost): speed of each algorithm, fitted one after the other (M9).
+
+    The features are cached first and one untimed fit warms up, so a time is that of its training alone.
+    """
+    data = features.select(features_col).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
+    try:
+        data.count()
+        for algo in algorithms:
+            estimator(algo, min(ks), 1, seed, features_col).fit(data)
+            for k in ks:
+                began = time.perf_counter()
+                model = estimator(algo, k, max_iter, seed, features_col).fit(data)
+                took = time.perf_counter() - began
+                rows.append((algo, k, took, model.summary.numIter, model.summary.trainingCost))
     finally:
         data.unpersist()
-    rows = F.array(*[
-        F.struct(
-            F.lit(a).alias("algorithm"), F.lit(k).cast("int").alias("k"),
-            F.col(f"_cluster{i}").cast("int").alias("cluster"),
-            F.lit(float(model.summary.trainingCost)).alias("cost"), F.lit(wssse[a, k]).alias("wssse"),
-        )
-        for i, (a, k, model) in enumerate(fitted)
-    ])
-    return wide.select(*keep, F.inline(rows)).select("algorithm", "k", *keep, "cluster", "cost", "wssse")
+    return features.sparkSession.createDataFrame(
+        rows, "algorithm string, k int, seconds double, iterations int, cost double"
+    )
+
+
+TREE_SCHEMA = "k int, node int, parent int, size long, cost double, centre array<double>, leaf boolean"
+
+
+def split_tree(spark: SparkSession, model) -> DataFrame:
+    """(node, parent, size, cost, centre, leaf) of a fitted bisecting model, read from its saved form (M3)."""
+    path = scratch_path(spark, "bisecting-model")
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data/data")  # at most 2k - 1 rows
+    parents = nodes.select(F.col("index").alias("parent"), F.explode("children").alias("child"))
+    tree = nodes.join(parents, F.col("index") == F.col("child"), "left")
+    return tree.select(
+        F.col("index").cast("int").alias("node"), F.col("parent").cast("int").alias("parent"), F.col("size").cast("long").alias("size"),
+        "cost", vector_to_array("center").alias("centre"), (F.size("children") == 0).alias("leaf"),
+    )
+
+
+def nearest_centre(
+    assigned: DataFrame,
+    centres: DataFrame,
+    vector_col: str,
+    model_keys: Sequence[str] = ("algorithm", "k"),
+    cluster_col: str = "cluster",
+) -> DataFrame:
+    """``assigned`` with ``own`` and ``least``: squared distances to the row's own and to its nearest centre (M6).
+
+    ``centres`` (see ``centre_table``) has one row per (model, cluster), bounded by the grid; ``vector_col``
+    is ``array<double>``. The sum of ``own`` is the model's cost, and ``own > least`` a misplaced row.
+    """
+    per_model = centres.groupBy(*model_keys).agg(F.collect_list(F.struct(F.col("cluster").alias("c"), "centre")).alias("_centres"))
+    rows = assigned.join(F.broadcast(per_model), list(model_keys))
+    distances = F.transform("_centres", lambda x: F.struct(squared_distance(F.col(vector_col), x["centre"]).alias("d"), x["c"].alias("c")))
+    rows = rows.withColumn("_distances", distances)
+    own = F.filter("_distances", lambda x: x["c"] == F.col(cluster_col))[0]["d"]
+    return rows.select(*assigned.columns, own.alias("own"), F.array_min("_distances")["d"].alias("least"))
 
 
 def _sweep_wssse(assigned: DataFrame, fitted, features_col: str) -> dict[tuple[str, int], float]:
@@ -273,10 +398,11 @@ def _sweep_wssse(assigned: DataFrame, fitted, features_col: str) -> dict[tuple[s
     return out
 
 
-def compare(sweep: DataFrame) -> DataFrame:
+def compare(sweep: DataFrame, speed: DataFrame | None = None) -> DataFrame:
     """Per (algorithm, k): cost, wssse, clusters used, size; ranked by wssse within k (M9).
 
-    One row per model: the ranking window runs over the (tiny) model table.
+    ``speed`` (see ``timed_fits``) adds seconds and iterations. One row per model: the ranking
+    window runs over the (tiny) model table.
     """
     clusters = sweep.groupBy("algorithm", "k", "cluster").agg(
         F.first("cost").alias("cost"), F.first("wssse").alias("wssse"), F.count(F.lit(1)).alias("n")
@@ -288,7 +414,10 @@ def compare(sweep: DataFrame) -> DataFrame:
         F.sum("n").alias("rows"),
     )
     w = Window.partitionBy("k").orderBy(F.col("wssse").asc(), F.col("algorithm").asc())
-    return per_model.withColumn("rank_in_k", F.row_number().over(w))
+    ranked = per_model.withColumn("rank_in_k", F.row_number().over(w))
+    if speed is None:
+        return ranked
+    return ranked.join(speed.select("algorithm", "k", "seconds", "iterations"), ["algorithm", "k"], "left")
 
 
 def label_cost(df: DataFrame, vector_col: str, label_col: str, name: str = "wssse") -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from tallycast.operators import aggregates as agg
 from tallycast.operators import cluster, filters, rank
 from tallycast.plans import (
     daily_mean_per_unit,
+    exact_centres,
+    exact_segments,
+    exact_split_tree,
     forecast_total_share,
     history_and_forecast,
     history_union_forecast,
@@ -29,14 +34,16 @@ from tallycast.plans import (
     next_month_top_k,
     share_segments,
     vector_segments,
+    vector_sweep,
 )
-from tallycast.sinks import read_csv_dir, write_csv
+from tallycast.sinks import keyed, read_csv_dir, read_keyed, write_csv, write_keyed
 from tallycast.session import scratch_path
 from tallycast.sources import (
     bind_columns,
     daily_totals_table,
     embedding_features,
     population_table,
+    read_bound,
     schemas,
     supplier_rows,
     table,
@@ -49,6 +56,7 @@ TREND_START = dt.date(1996, 2, 1)  # Q2: first day fitted; every later month is
 TOP_K = 5                        # Q2: areas kept per (month, band)
 CUTOFF = dt.date(1999, 6, 1)     # Q3: history strictly before, forecast at the cutoff day
 DIGITS = 6
+COST_DIGITS = 9
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,6 +232,36 @@ def csv_round_trip(spark: SparkSession, base: str) -> DataFrame:
     return read_csv_dir(spark, path, schemas.DAILY, header=False)
 
 
+def units_round_trip(spark: SparkSession, base: str) -> DataFrame:
+    """The unit rows through a headered CSV folder."""
+    path = scratch_path(spark, "units_round_trip")
+    write_csv(units_table(spark, base), path, header=True)
+    return read_csv_dir(spark, path, schemas.UNITS, header=True)
+
+
+def population_round_trip(spark: SparkSession, base: str) -> DataFrame:
+    """The population rows through a headered CSV folder."""
+    path = scratch_path(spark, "population_round_trip")
+    write_csv(population_table(spark, base), path, header=True)
+    return read_csv_dir(spark, path, schemas.POPULATION, header=True)
+
+
+def bound_measure_round_trip(spark: SparkSession, base: str) -> DataFrame:
+    """Banded rows with two measures through a headered CSV folder, the second bound by its name."""
+    path = scratch_path(spark, "bound_measure")
+    rows = agg.merge_rows(_banded(spark, base), ["obs_date", "area", "band"], "total")
+    write_csv(rows.select("area", "obs_date", "band", "total", (F.col("total") * 3).alias("tripled")), path, header=True)
+    return read_bound(spark, path, schemas.BANDED, {"total": "tripled"}, header=True)
+
+
+def keyed_round_trip(spark: SparkSession, base: str) -> DataFrame:
+    """Q1 as a keyed table, checked for unique keys, and read back (K4, K5)."""
+    path = scratch_path(spark, "keyed_round_trip")
+    rows = _q1(spark, base).withColumn("token", month_token("month"))
+    write_keyed(keyed(rows, ["area", "token"], ["mean_per_unit"]), path)
+    return read_keyed(spark, path)
+
+
 # --- clustering -----------------------------------------------------------------------
 
 def wssse_of_assignment(spark: SparkSession, base: str) -> DataFrame:
@@ -235,19 +273,40 @@ def _shares(spark: SparkSession, base: str) -> DataFrame:
     return forecast_total_share(daily_totals_table(spark, base), population_table(spark, base), CUTOFF)
 
 
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, COST_DIGITS) for c in cols})
+
+
 def kmeans_sweep(spark: SparkSession, base: str) -> DataFrame:
-    return share_segments(_shares(spark, base), algorithms=["kmeans"])
+    return _rounded(exact_segments(_shares(spark, base), algorithms=["kmeans"]), "cost", "wssse")
 
 
 def bisecting_sweep(spark: SparkSession, base: str) -> DataFrame:
-    return share_segments(_shares(spark, base), algorithms=["bisecting"])
+    return _rounded(exact_segments(_shares(spark, base), algorithms=["bisecting"]), "cost", "wssse")
 
 
 def cluster_comparison(spark: SparkSession, base: str) -> DataFrame:
-    return cluster.compare(share_segments(_shares(spark, base)))
+    return _rounded(cluster.compare(exact_segments(_shares(spark, base))), "cost", "wssse")
 
 
 def q3_cluster_sweep(spark: SparkSession, base: str) -> DataFrame:
+    sweep = _rounded(exact_segments(_shares(spark, base)), "cost", "wssse")
+    return sweep.select(
+        row_key("algorithm", "k", "area").alias("row_key"),
+        "cost", "wssse", "ratio", "cluster",
+    )
+
+
+def q3_centres(spark: SparkSession, base: str) -> DataFrame:
+    return _rounded(exact_centres(_shares(spark, base)), "centre", "cost")
+
+
+def q3_split_tree(spark: SparkSession, base: str) -> DataFrame:
+    return _rounded(exact_split_tree(_shares(spark, base)), "centre", "cost")
+
+
+def iterative_sweep(spark: SparkSession, base: str) -> DataFrame:
+    """The Q3 sweep with the library's iterative k-means and bisecting k-means."""
     sweep = share_segments(_shares(spark, base))
     return sweep.select(
         row_key("algorithm", "k", "area").alias("row_key"),
@@ -255,10 +314,55 @@ def q3_cluster_sweep(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def iterative_against_exact(spark: SparkSession, base: str) -> DataFrame:
+    """Per model of the iterative sweep: whether its cost is at least the optimum for k, and is that of its own assignment."""
+    shares = _shares(spark, base)
+    sweep = share_segments(shares)
+    per_cluster = sweep.groupBy("algorithm", "k", "cluster").agg(
+        F.first("cost").alias("cost"), F.count(F.lit(1)).alias("n"), F.var_pop("ratio").alias("var")
+    )
+    found = per_cluster.groupBy("algorithm", "k").agg(
+        F.first("cost").alias("cost"), F.sum(F.col("n") * F.col("var")).alias("recomputed"), F.sum("n").alias("rows")
+    )
+    best = exact_centres(shares, algorithms=["kmeans"]).groupBy(F.col("k").alias("of")).agg(F.sum("cost").alias("optimum"))
+    return found.join(best, F.col("k") == F.col("of")).select(
+        "algorithm", "k", "rows", F.round("optimum", COST_DIGITS).alias("optimum"),
+        (F.col("recomputed") >= F.col("optimum") * (1 - 1e-9)).alias("not_below_optimum"),
+        (F.abs(F.col("cost") - F.col("recomputed")) <= 0.05 * F.col("recomputed") + 1e-12).alias("near_own_cost"),
+    )
+
+
 def embedding_cluster_sweep(spark: SparkSession, base: str) -> DataFrame:
     return vector_segments(embedding_features(spark, base), "vec_id", "embedding")
 
 
+def embedding_nearest_centre(spark: SparkSession, base: str) -> DataFrame:
+    """Per vector and k-means model: whether no other centre of the model's centre table is nearer than its own."""
+    points = embedding_features(spark, base)
+    sweep = vector_sweep(points, "vec_id", "embedding", algorithms=["kmeans"])
+    assigned = sweep.assigned("vec_id", "features").withColumn("v", vector_to_array("features"))
+    found = cluster.nearest_centre(assigned.drop("features"), sweep.centres(), "v")
+    return found.select("algorithm", "k", "vec_id", (F.col("own") <= F.col("least") * (1 + 1e-9)).alias("nearest"))
+
+
+def embedding_split_trees(spark: SparkSession, base: str) -> DataFrame:
+    """Per bisecting model over the embeddings: leaves, rows in them, and whether every split's sizes add up."""
+    sweep = vector_sweep(embedding_features(spark, base), "vec_id", "embedding", algorithms=["bisecting"])
+    tree = sweep.split_trees()
+    halves = tree.groupBy("k", F.col("parent").alias("of")).agg(F.sum("size").alias("below"))
+    tree = tree.join(halves.withColumnRenamed("k", "k2"), (F.col("k") == F.col("k2")) & (F.col("node") == F.col("of")), "left")
+    return tree.groupBy("k").agg(
+        F.count_if("leaf").alias("leaves"), F.sum(F.when(F.col("leaf"), F.col("size"))).alias("rows"),
+        F.bool_and(F.col("leaf") | (F.col("below") == F.col("size"))).alias("adds_up"),
+    )
+
+
+def cluster_speed(spark: SparkSession, base: str) -> DataFrame:
+    """Training time and iterations per (algorithm, k) over the embeddings, one fit after the other."""
+    points = embedding_features(spark, base)
+    return cluster.timed_fits(cluster.vectorize_array(points, "embedding"))
+
+
 def sweep_share_rows(spark: SparkSession, base: str) -> DataFrame:
     """Keys and ratios of the Q3 sweep: every share once per model."""
     return q3_cluster_sweep(spark, base).select("row_key", "ratio")
@@ -266,16 +370,19 @@ def sweep_share_rows(spark: SparkSession, base: str) -> DataFrame:
 
 def sweep_sum_of_squares(spark: SparkSession, base: str) -> DataFrame:
     """Per model of the embedding sweep: rows, and squares within plus between its clusters."""
-    points = embedding_features(spark, base).select("vec_id", "embedding")
-    e = embedding_cluster_sweep(spark, base).join(points, "vec_id")
+    sweep = vector_sweep(embedding_features(spark, base), "vec_id", "embedding")
     keys = ["algorithm", "k"]
-    dims = e.select(*keys, "cluster", F.posexplode("embedding").alias("i", "v"))
-    per = dims.groupBy(*keys, "cluster", "i").agg(
-        F.count(F.lit(1)).alias("n"), F.var_pop("v").alias("var"), F.avg("v").alias("mean")
+    per = sweep.assigned("features").groupBy(*keys, "cluster").agg(
+        Summarizer.metrics("count", "mean", "variance").summary(F.col("features")).alias("s")
+    )
+    dims = per.select(  # k rows per model times the vector's width
+        *keys, F.col("s.count").alias("n"),
+        F.posexplode(F.arrays_zip(vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("var"))).alias("i", "d"),
     )
-    over = per.groupBy(*keys, "i").agg(
-        F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("var")).alias("within"),
-        (F.sum(F.col("n") * F.col("mean") ** 2) - F.sum(F.col("n") * F.col("mean")) ** 2 / F.sum("n")).alias("between"),
+    n, mean = F.col("n"), F.col("d.mean")
+    over = dims.groupBy(*keys, "i").agg(
+        F.sum("n").alias("rows"), F.sum((n - 1) * F.col("d.var")).alias("within"),
+        (F.sum(n * mean * mean) - F.sum(n * mean) * F.sum(n * mean) / F.sum("n")).alias("between"),
     )
     return over.groupBy(*keys).agg(
         F.max("rows").alias("rows"), F.round(F.sum(F.col("within") + F.col("between")), 3).alias("total_ss")
@@ -325,12 +432,23 @@ QUERIES: dict[str, Query] = {
     "total_with_forecast": total_with_forecast,
     "composite_key_export": composite_key_export,
     "csv_round_trip": csv_round_trip,
+    "units_round_trip": units_round_trip,
+    "population_round_trip": population_round_trip,
+    "bound_measure_round_trip": bound_measure_round_trip,
+    "keyed_round_trip": keyed_round_trip,
     "wssse_of_assignment": wssse_of_assignment,
     "kmeans_sweep": kmeans_sweep,
     "bisecting_sweep": bisecting_sweep,
     "cluster_comparison": cluster_comparison,
     "q3_cluster_sweep": q3_cluster_sweep,
+    "q3_centres": q3_centres,
+    "q3_split_tree": q3_split_tree,
+    "iterative_sweep": iterative_sweep,
+    "iterative_against_exact": iterative_against_exact,
     "embedding_cluster_sweep": embedding_cluster_sweep,
+    "embedding_nearest_centre": embedding_nearest_centre,
+    "embedding_split_trees": embedding_split_trees,
+    "cluster_speed": cluster_speed,
     "sweep_share_rows": sweep_share_rows,
     "sweep_sum_of_squares": sweep_sum_of_squares,
     "sweep_cost_check": sweep_cost_check,

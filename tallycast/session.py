@@ -9,6 +9,7 @@ the session's warehouse when none is set; never to a machine-local temp folder.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -102,3 +103,28 @@ def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
     return len(paths)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """On leaving, delete the scratch tables handed out and the checkpoints written inside the block.
+
+    For a job that has written its results elsewhere by then; nothing made inside may be read after.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    fs = root.getFileSystem(conf)
+
+    def checkpoints() -> set[str]:
+        if not fs.exists(root):
+            return set()
+        return {s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("rdd-")}
+
+    app = spark.sparkContext.applicationId
+    held, before = list(_SCRATCH.get(app, [])), checkpoints()
+    try:
+        yield
+    finally:
+        made = [p for p in _SCRATCH.get(app, []) if p not in held]
+        release_scratch(spark, [*made, *(checkpoints() - before)])
+        _SCRATCH[app] = [p for p in _SCRATCH.get(app, []) if p in held]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.functions.keys import KEY_SEPARATOR, row_key
+from tallycast.sinks.publish import drop_old_versions, new_version, publish, published
 from tallycast.sources.csv import DATE_FORMAT, read_csv
 
 
@@ -77,8 +78,12 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = [
+    "drop_old_versions",
     "duplicate_keys",
     "keyed",
+    "new_version",
+    "publish",
+    "published",
     "read_csv_dir",
     "read_keyed",
     "write_csv",

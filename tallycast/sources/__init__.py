@@ -1,7 +1,7 @@
 """Readers: declared-schema CSV (S1-S6) and the warehouse-derived pipeline inputs."""
 
 from tallycast.sources import schemas
-from tallycast.sources.csv import bind_columns, ddl_fields, read_csv, read_csv_with_rejects
+from tallycast.sources.csv import bind_columns, ddl_fields, read_bound, read_csv, read_csv_with_rejects, split_rejects
 from tallycast.sources.tables import (
     TABLES,
     daily_totals_table,
@@ -19,9 +19,11 @@ __all__ = [
     "ddl_fields",
     "embedding_features",
     "population_table",
+    "read_bound",
     "read_csv",
     "read_csv_with_rejects",
     "schemas",
+    "split_rejects",
     "supplier_rows",
     "table",
     "units_table",

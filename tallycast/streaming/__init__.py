@@ -1,5 +1,5 @@
 """Incremental ingest of feed files with Structured Streaming."""
 
-from tallycast.streaming.ingest import feed_stream, ingest, read_ingested
+from tallycast.streaming.ingest import feed_stream, ingest, ingest_with_rejects, read_ingested, read_rejects
 
-__all__ = ["feed_stream", "ingest", "read_ingested"]
+__all__ = ["feed_stream", "ingest", "ingest_with_rejects", "read_ingested", "read_rejects"]

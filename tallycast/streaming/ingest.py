@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallycast.functions.dates import date_lit, month_start
-from tallycast.sources.csv import DATE_FORMAT, ddl_fields
+from tallycast.sources.csv import DATE_FORMAT, ddl_fields, raw_options, raw_schema, split_rejects
 
 
 def feed_stream(
@@ -72,6 +72,52 @@ def ingest(
     return writer.start()
 
 
+def ingest_with_rejects(
+    spark: SparkSession,
+    source_dir: str,
+    ddl: str,
+    table_dir: str,
+    date_col: str = "obs_date",
+    header: bool = False,
+    checkpoint: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """``ingest`` for feeds with bad lines: good rows reach the table, the others ``{table_dir}/_rejects``.
+
+    The rules are those of ``read_csv_with_rejects``. Both outputs are partitioned by the micro-batch, and a
+    batch that runs again after a failure overwrites its own partitions, so every line is
+    written once. ``checkpoint`` must go with the table: batch numbers start anew with a new one.
+    """
+    table_dir = table_dir.rstrip("/")
+    raw = spark.readStream.schema(raw_schema(ddl)).options(**raw_options(header)).csv(source_dir)
+
+    def write(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        try:
+            good, rejects = split_rejects(held, ddl)
+            good = good.withColumns({"month": month_start(F.col(date_col)), "batch": F.lit(number)})
+            for rows, path, parts in (
+                (good, table_dir, ["month", "batch"]), (rejects.withColumn("batch", F.lit(number)), f"{table_dir}/_rejects", ["batch"]),
+            ):
+                writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                writer.partitionBy(*parts).parquet(path)
+        finally:
+            held.unpersist()
+
+    writer = (
+        raw.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint or f"{table_dir}/_progress")
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def read_rejects(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The rejected raw rows of an ingested table, with the micro-batch that met them."""
+    return spark.read.parquet(f"{table_dir.rstrip('/')}/_rejects")
+
+
 def read_ingested(
     spark: SparkSession,
     table_dir: str,

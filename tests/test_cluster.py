@@ -93,7 +93,7 @@ def test_label_cost_matches_brute_force(spark):
 
 
 def test_vector_sweep_on_embeddings(spark):
-    from conftest import SF0001
+    from fixtures import SF0001
     from tallycast.plans import vector_segments
     from tallycast.sources import embedding_features
 

@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from conftest import SF001
+from fixtures import SF001
 from tallycast import registry
 from tallycast.operators import cluster
 from tallycast.sources import embedding_features

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from fixtures import SF001
 from oracle import compare, duck
 
 SQL = E.oracle_sql()
@@ -31,7 +31,7 @@ def test_every_sql_has_a_query():
 
 
 def test_registered_sweeps_shape(spark):
-    from conftest import SF0001
+    from fixtures import SF0001
 
     shares = QUERIES["q3_forecast_share"](spark, SF0001)
     areas = shares.count()

@@ -9,7 +9,7 @@ from py4j.protocol import Py4JJavaError
 
 from tallycast.session import scratch_path
 from tallycast.sinks import duplicate_keys, keyed, read_csv_dir, read_keyed, write_csv, write_keyed
-from tallycast.sources import bind_columns, read_csv, read_csv_with_rejects, schemas
+from tallycast.sources import bind_columns, read_bound, read_csv, read_csv_with_rejects, schemas
 
 
 def _write(tmp_path, name, text):
@@ -92,7 +92,7 @@ def test_bucketed_tables_join_without_shuffle(spark):
     import contextlib
     import io
 
-    from conftest import SF001
+    from fixtures import SF001
     from tallycast.sinks import write_bucketed
     from tallycast.sources import table
 
@@ -120,7 +120,7 @@ def test_pipeline_input_over_bucketed_catalog_tables(spark):
     import contextlib
     import io
 
-    from conftest import SF001
+    from fixtures import SF001
     from tallycast.sinks import write_bucketed
     from tallycast.sources import daily_totals_table, table
 
@@ -142,3 +142,39 @@ def test_pipeline_input_over_bucketed_catalog_tables(spark):
         assert sorted(daily.collect()) == sorted(daily_totals_table(spark, SF001).collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bound_columns_fail_on_what_they_cannot_bind(spark, tmp_path):
+    head = "d,a,b,x,y\n"
+    path = _write(tmp_path, "wide.csv", head + "2021-01-01,LOM,20-29,1,2\n2021-01-02,VDA,30-39,,4\n")
+    bind = {"area": "a", "obs_date": "d", "band": "b", "total": "y"}
+    got = read_bound(spark, path, schemas.BANDED, bind, header=True)
+    assert [(r.area, r.band, r.total) for r in got.collect()] == [("LOM", "20-29", 2), ("VDA", "30-39", 4)]
+    for bad in ({"total": "z"}, {"total": 9}, {"totals": "y"}):
+        with pytest.raises(ValueError):
+            read_bound(spark, path, schemas.BANDED, {**bind, **bad}, header=True)
+    with pytest.raises(ValueError):
+        read_bound(spark, path, schemas.BANDED, {"total": "y"})
+    for text in (head + "2021-01-01,LOM,20-29,1\n", head + "2021-01-01,LOM,20-29,1,two\n", head + "2021-01-01,LOM,20-29,1,\n"):
+        with pytest.raises((Py4JJavaError, PySparkException)):
+            read_bound(spark, _write(tmp_path, f"bad{len(text)}.csv", text), schemas.BANDED, bind, header=True).count()
+    # files with other columns than the first fail rather than mix
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "1.csv").write_text(head + "2021-01-01,LOM,20-29,1,2\n")
+    (folder / "2.csv").write_text("d,a,b,y,x\n2021-01-01,LOM,20-29,1,2\n")
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        read_bound(spark, str(folder), schemas.BANDED, bind, header=True).count()
+
+
+def test_publish_replaces_the_pointer(spark, tmp_path):
+    from tallycast.sinks import new_version, publish, published
+
+    base = str(tmp_path / "results")
+    for i in range(3):
+        version = new_version(base)
+        spark.range(i + 1).write.parquet(f"{version}/t.parquet")
+        publish(spark, version)
+        assert published(spark, base) == version
+        assert spark.read.parquet(f"{published(spark, base)}/t.parquet").count() == i + 1
+    assert sorted(x for x in os.listdir(base) if not x.startswith((".", "v-"))) == ["CURRENT"]

@@ -1,11 +1,16 @@
 """File-stream ingest: drops appended incrementally, pipelines read the result."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
+
+import pytest
 
 from tallycast.operators.aggregates import merge_rows
 from tallycast.session import scratch_path
 from tallycast.sources import schemas
-from tallycast.streaming import ingest, read_ingested
+from tallycast.streaming import ingest, ingest_with_rejects, read_ingested, read_rejects
 
 
 def test_ingest_appends_drops_and_resumes(spark, tmp_path):
@@ -54,3 +59,45 @@ def test_pipeline_over_ingested_daily_feed(spark, tmp_path):
     plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(month" in plan and "month#" in plan
     assert spark.read.parquet(table_dir).select("month").distinct().count() == 3  # 2020-12, 2021-01, 2021-02
+
+
+ONE_RUN = """
+import sys
+from tallycast import build_session
+from tallycast.sources import schemas
+from tallycast.streaming import ingest, ingest_with_rejects
+src, table, ckpt, kind = sys.argv[1:]
+spark = build_session("local[2]", 2, extra={"spark.checkpoint.dir": ckpt})
+{"plain": ingest, "rejects": ingest_with_rejects}[kind](spark, src, schemas.BANDED, table).awaitTermination()
+"""
+
+
+@pytest.mark.parametrize("kind", ["plain", "rejects"])
+def test_two_processes_ingest_every_drop_once(spark, tmp_path, kind):
+    src, table_dir = tmp_path / "drops", str(tmp_path / "table")
+    src.mkdir()
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+
+    def one_process():
+        subprocess.run([sys.executable, "-c", ONE_RUN, str(src), table_dir, str(tmp_path / "ckpt"), kind], check=True, env=env, timeout=300)
+
+    bad = "LOM,2021-03-01,20-29\nLOM,2021-03-01,20-29,x\n" if kind == "rejects" else ""
+    (src / "a.csv").write_text("LOM,2021-03-01,20-29,5\nLOM,2021-03-01,20-29,5\nVDA,2021-04-02,20-29,1\n" + bad)
+    one_process()
+    (src / "b.csv").write_text("LOM,2021-03-01,20-29,2\n" + bad)
+    one_process()
+    one_process()  # nothing new
+    rows = read_ingested(spark, table_dir, schemas.BANDED, dt.date(2021, 3, 1), dt.date(2021, 5, 1)).collect()
+    assert sorted((r.area, r.total) for r in rows) == [("LOM", 2), ("LOM", 5), ("LOM", 5), ("VDA", 1)]
+    if kind == "rejects":
+        assert sorted((r.area, r.total or "") for r in read_rejects(spark, table_dir).collect()) == [("LOM", ""), ("LOM", "")] + [("LOM", "x")] * 2
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
+    src, table_dir = tmp_path / "in", str(tmp_path / "t")
+    src.mkdir()
+    (src / "a.csv").write_text("LOM,2021-03-01,20-29,5\nbad\n")
+    for n in range(2):  # the second checkpoint has forgotten that batch 0 was written
+        ingest_with_rejects(spark, str(src), schemas.BANDED, table_dir, checkpoint=str(tmp_path / f"c{n}")).awaitTermination()
+    assert read_ingested(spark, table_dir, schemas.BANDED).count() == 1
+    assert read_rejects(spark, table_dir).count() == 1
