@@ -45,7 +45,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def words_of(text: str) -> list[str]:
     words = _WORD.findall(text.lower())
-    return words if text.isascii() else [w for w in words if any(map(str.isalpha, w))]
+    return words if text.isascii() else [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, order: int) -> list[str]:
@@ -83,16 +83,16 @@ def gram_counts(words: DataFrame, orders: int = ORDERS) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            seen: Counter[tuple[str, str]] = Counter()
-            for lang, word, n in pdf.itertuples(index=False):
-                for order in range(1, orders + 1):
-                    for g in grams_of(word, order):
-                        seen[lang, g] += n
-                if len(seen) > FLUSH_ROWS:
-                    yield _gram_rows(seen)
-                    seen.clear()
-            if seen:
-                yield _gram_rows(seen)
+            for lang, part in pdf.groupby("lang"):
+                seen: dict[str, int] = {}
+                for word, n in zip(part["word"].tolist(), part["n"].tolist(), strict=True):
+                    for order in range(1, orders + 1):
+                        for g in grams_of(word, order):
+                            seen[g] = seen.get(g, 0) + n
+                    if len(seen) > FLUSH_ROWS:
+                        yield _gram_rows(lang, seen)
+                        seen = {}
+                yield _gram_rows(lang, seen)
 
     return (
         words.select("lang", "word", "n").mapInPandas(count, "lang string, gram string, n long")
@@ -100,8 +100,8 @@ def gram_counts(words: DataFrame, orders: int = ORDERS) -> DataFrame:
     )
 
 
-def _gram_rows(seen: Counter) -> pd.DataFrame:
-    return pd.DataFrame([(lang, g, n) for (lang, g), n in seen.items()], columns=["lang", "gram", "n"])
+def _gram_rows(lang: str, seen: dict[str, int]) -> pd.DataFrame:
+    return pd.DataFrame({"lang": lang, "gram": list(seen), "n": np.array(list(seen.values()), dtype=np.int64)})
 
 
 def frequent(counts: DataFrame, limit: int) -> DataFrame:
@@ -171,7 +171,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.grams = dict(zip(model.grams, model.gram_logs, strict=True))
+        self.grams = {g: i for i, g in enumerate(model.grams)}
         self.orders = sorted({len(g) for g in model.grams}, reverse=True)
         self.fixed = {w: i for i, w in enumerate(model.words)}
         self.reset()
@@ -183,23 +183,33 @@ class Scorer:
         self.logs[:n] = self.model.word_logs
         self.n = n
 
-    def backed_off(self, word: str) -> np.ndarray:
-        """Mean log frequencies of the known n-grams of the longest order that has one; zeros if none has."""
-        for order in self.orders:
-            found = [self.grams[g] for g in grams_of(word, order) if g in self.grams]
-            if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.model.langs))
+    def backed_off(self, words: list[str]) -> np.ndarray:
+        """Per word the mean log frequencies of the known n-grams of the longest order that has one; zeros if none has."""
+        rows, sizes = [], []
+        for w in words:
+            found: list[int] = []
+            for order in self.orders:
+                found = [self.grams[g] for g in grams_of(w, order) if g in self.grams]
+                if found:
+                    break
+            rows += found
+            sizes.append(len(found))
+        out, n = np.zeros((len(words), len(self.model.langs))), np.array(sizes)
+        some = n > 0
+        if rows:
+            first = np.cumsum(n[some]) - n[some]
+            out[some] = np.add.reduceat(self.model.gram_logs[rows], first, axis=0) / n[some][:, None]
+        return out
 
     def _rows(self, words: list[str]) -> np.ndarray:
         new = {w for w in words if w not in self.place}
         if self.n + len(new) > len(self.logs):
             self.reset()
             new = {w for w in words if w not in self.place}
-        for w in new:
-            self.logs[self.n] = self.backed_off(w)
-            self.place[w] = self.n
-            self.n += 1
+        if new:
+            self.logs[self.n : self.n + len(new)] = self.backed_off(list(new))
+            self.place.update(zip(new, range(self.n, self.n + len(new)), strict=True))
+            self.n += len(new)
         return np.fromiter(map(self.place.__getitem__, words), np.int64, count=len(words))
 
     def sums(self, words: list[str]) -> np.ndarray:
