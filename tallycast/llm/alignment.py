@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,18 +35,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm.common import Scratch, text_of, worker_state
-from tallycast.llm.rans import CACHE_PIECES, PieceEncoder
+from tallycast.llm.rans import PieceEncoder
 
-CHUNK_CHARS = 2_000_000
-CACHED_UNIT = 64  # longer units are encoded each time
+CHUNK_CHARS = 1_000_000
+CACHED_UNIT = 64      # longer units are encoded each time
+CACHE_ITEMS = 250_000  # per generation; two are kept for each tokenizer
 _UNIT = re.compile(" +[^ ]*")
 
 
+class _Pieces(PieceEncoder):
+    """A piece encoder that keeps what was used of late when its cache is full."""
+
+    old: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        return self.old[piece] if piece in self.old else super()._piece(piece)
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(self.cache) > CACHE_ITEMS:
+            self.old, self.cache = self.cache, {}
+        return super().encode(text)
+
+
 class ByteSide:
     """Tokenizer A: ids of space plus text, and the bytes of every id."""
 
     def __init__(self, path: str):
-        self.encoder = PieceEncoder(path)
+        self.encoder = _Pieces(path)
         self.encoder.tokenizer.encode_special_tokens = True
         letters = {c: b for b, c in self.encoder.letters.items()}
         vocab = self.encoder.tokenizer.get_vocab()
@@ -83,6 +99,7 @@ class PieceSide:
         kept = b"".join(self.bytes[self._ids(probe)]) == (" " + probe).encode()
         self.units = units and kept and not any("▁" in p.lstrip("▁") for p in pieces)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, num_threads=1), dtype=np.int64)
@@ -90,23 +107,21 @@ class PieceSide:
     def encode(self, text: str) -> np.ndarray:
         if not self.units or not text:
             return self._ids(text)
-        units, known = _UNIT.findall(" " + text), self.known
+        if len(self.known) > CACHE_ITEMS:
+            self.old, self.known = self.known, {}
+        units, known, old = _UNIT.findall(" " + text), self.known, self.old
         new = set(units).difference(known)
-        if len(known) + len(new) > CACHE_PIECES:
-            known.clear()
-            new = set(units)
-        long = {}
+        known.update((u, old[u]) for u in new if u in old)
+        new = [u for u in new if u not in old]
+        # the model adds no space to an empty text, so a last space alone is looked up
+        ids = self.model.encode([u[1:] for u in new], num_threads=1) if new else []
+        fresh = {u: array("I", i if len(u) > 1 else [self.model.piece_to_id("▁")]).tobytes() for u, i in zip(new, ids, strict=True)}
+        known.update(fresh)
+        raw = b"".join(map(known.__getitem__, units))
         for u in new:
-            # the model adds no space to an empty text, so a last space alone is looked up
-            ids = self._ids(u[1:]) if len(u) > 1 else np.array([self.model.piece_to_id("▁")])
-            raw = ids.astype("<u4").tobytes()
-            if len(u) <= CACHED_UNIT:
-                known[u] = raw
-            else:
-                long[u] = raw
-        if long:
-            return np.frombuffer(b"".join([long[u] if u in long else known[u] for u in units]), dtype="<u4").astype(np.int64)
-        return np.frombuffer(b"".join(map(known.__getitem__, units)), dtype="<u4").astype(np.int64)
+            if len(u) > CACHED_UNIT:
+                del known[u]
+        return np.frombuffer(raw, dtype=np.uint32).astype(np.int64)
 
 
 def sides(path_a: str, path_b: str) -> tuple[ByteSide, PieceSide]:
@@ -226,6 +241,12 @@ class Renderer:
         return [b"".join(parts[lo:hi])[:-1] for lo, hi in zip(at[:-1], at[1:], strict=True)]
 
 
+def _forget() -> None:
+    """Free the tokenizers of a worker whose later tasks need none."""
+    for name in ("alignment", "alignment_text"):
+        worker_state().pop(name, None)
+
+
 def _renderer(a: ByteSide, b: PieceSide) -> Renderer:
     held = worker_state().setdefault("alignment_text", {})
     if (a.size, b.size) not in held:
@@ -342,6 +363,7 @@ def chunk_pairs(chunked: DataFrame) -> DataFrame:
     """(chunk, code, n) for every distinct pair of every chunk; n documents of the chunk hold it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _forget()
         for pdf in batches:
             for chunk, codes, held in pdf.itertuples(index=False):
                 codes = _large(codes)
@@ -367,6 +389,7 @@ def digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     known = pairs.select("chunk", F.col("code").alias("of")).join(totals, F.col("of") == F.col("code")).select("chunk", "code", "n", "best")
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        _forget()
         right = right.sort_values("code")  # the chunk's codes are ascending too
         n, best = right["n"].to_numpy(np.int64), right["best"].to_numpy(bool)
         out = []
