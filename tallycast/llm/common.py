@@ -89,14 +89,17 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+def connected_components(edges: DataFrame, name: str = "components", scratch: Scratch | None = None) -> DataFrame:
     """(node, root) for the nodes of (a, b) edges; root is the smallest node of the component.
 
+    Each step's edges replace those of the step before; with ``scratch`` the last are released with it.
+
     Alternating large-star and small-star steps until no edge changes: each step is one
     grouped aggregate and one join over the edges, which never grow in number. A hub with
     most edges is combined map-side and its join partition can be split.
     """
-    e = materialise(
+    scratch = scratch or Scratch(edges.sparkSession)
+    e = scratch.replace(
         edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), name
     )
     last = None
@@ -108,7 +111,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         # small star: every node hands its smaller neighbours, and itself, to the smallest of them
         smallest = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(smallest, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y"))
-        e = materialise(small.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), name)
+        e = scratch.replace(small.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), name)
         now = e.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
         ).first()

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+from tallycast.llm.common import worker_state
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
@@ -28,32 +32,36 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and end of every word of UTF-8 bytes."""
-    inside = np.concatenate([[False], ~_SPACE[data], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return edges[::2], edges[1::2]
+_KEY = b"words of a text"  # fixed value
+_CACHED_WORDS = 200_000
+
+
+def _digests(words: list[bytes]) -> dict[bytes, int]:
+    """Digests of the words at least, from a cache that lives with the worker."""
+    known = worker_state().setdefault("words", {})
+    new = set(words).difference(known)
+    if len(known) + len(new) > _CACHED_WORDS:
+        known.clear()
+        new = set(words)
+    for w in new:
+        known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8, key=_KEY).digest(), "little")
+    return known
 
 
 def word_hashes(text: bytes, slice_bytes: int = 1 << 20) -> np.ndarray:
-    """A hash per word, from a polynomial over its bytes; long texts go slice by slice."""
-    if len(text) > slice_bytes:
-        parts, at = [], 0
-        while at < len(text):
-            end = min(len(text), at + slice_bytes)
-            while end < len(text) and not _SPACE[text[end]]:
-                end += 1
-            parts.append(word_hashes(text[at:end], len(text)))
-            at = end
-        return np.concatenate(parts)
-    data = np.frombuffer(text, dtype=np.uint8)
-    starts, ends = word_spans(data)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    power, inverse = _powers(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A keyed 64-bit digest per word; long texts go slice by slice.
+
+    A digest, not a polynomial of the bytes: no two words are known that share one.
+    """
+    parts, at = [], 0
+    while at < len(text):
+        end = min(len(text), at + slice_bytes)
+        while end < len(text) and not _SPACE[text[end]]:
+            end += 1
+        words = text[at:end].split()
+        parts.append(np.fromiter(map(_digests(words).__getitem__, words), np.uint64, count=len(words)))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:

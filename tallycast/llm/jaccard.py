@@ -1,26 +1,30 @@
 """Exact Jaccard similarity join in metric space: pivots, Voronoi cells, triangle windows.
 
-1 - Jaccard is a metric over sets of word shingles. Sampled documents are useless as pivots
-here: nearly every pair of documents lies at distance 1. The pivots are therefore the
+1 - Jaccard is a metric over sets of word shingles. Sampled documents are useless as first pivots
+here: nearly every pair of documents lies at distance 1. The first pivots are therefore the
 one-shingle sets: a document x lies at distance 1 - 1/|x| from the pivots of its own
 shingles and at 1 from all others, so its nearest cells are its shingles' cells, ties going
-to the rarer shingle first (``heat`` orders shingles by a count sketch of the whole corpus,
-then by hash). By the triangle inequality two linked sets differ in at most
+to the rarer shingle first (a count sketch of the whole corpus orders shingles, then their
+hash). By the triangle inequality two linked sets differ in at most
 (1 - t) / (1 + t) * (|x| + |y|) shingles, so they meet within the first
 |x| - ceil(t |x|) + 1 cells of each: those are the windows into which boundary documents are
 replicated.
 
-Cells join recursively. One set of each cell becomes its document pivot p, and every
-member's distance to p is computed exactly: members within the threshold are linked and
-settled. While a cell holds several components, more of its members become pivots, eight times
-as many each round, and are compared with members of other components, but only inside the
-ring |d(x, p) - d(y, p)| <= 1 - t that the triangle inequality leaves. A group of near
-copies so costs a few comparisons per member, not its square; a cell whose sets really are
-unlike is compared throughout. No cell is held in one task: cells are joins on the shingle.
+Cells join recursively. One set of each cell becomes its document pivot, and every
+member's distance to it is computed exactly: members within the threshold are linked and
+settled. A cell that still holds several components falls into regions: one around its largest
+component, in pieces of REGION members, and the rest in pieces of REGION. Members of different components
+meet wherever their pieces do, never inside the largest component. Two members of a region are
+only measured if the metric allows a link: the Hamming distance of their parity bitmaps (a bit
+per shingle hash, added modulo 2) is at most the size of their symmetric difference, which
+for linked sets has the bound above. Of each two components of a region the closest few pairs are measured first; a
+link makes the others needless, otherwise the next round takes sixteen times as many, until none is
+left. So near copies cost a few comparisons per member, pairs of unlike sets never leave the task that met
+them, and no pair that might link is left out. No cell is held in one task.
 
 Documents with equal sets are one node. Null and empty texts have no shingles and are linked
-with nothing. Repeated rows are equal sets. Hashes have 64 bits; equality of sets is decided
-on them.
+with nothing. Repeated rows are equal sets. Words are hashed by a keyed digest and shingles and sets have
+64 bits; equality is decided on them. Columns of the caller may have any names.
 """
 
 from __future__ import annotations
@@ -41,7 +45,12 @@ SHINGLE = 4
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
-SLICES = 4  # pairs fetch their sets in this many steps, so that a step's shuffle holds a part of them
+SKETCH_STEPS = (4096, 64, 1)  # partial sketches are added in groups of so many, then fewer
+SLICES = 4      # pairs fetch their sets in this many steps, so that a step's shuffle holds a part of them
+BITMAP = 1024   # bits
+REGION = 512    # members of a cell that meet in one piece
+CLOSEST = 4     # pairs of two components of a region that are measured first
+BATCH_ROWS = 20_000
 
 
 def shingle_set(text: str, size: int) -> np.ndarray:
@@ -57,56 +66,70 @@ def node_of(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True) or 1
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """The bitmap of a set: each shingle flips one bit."""
+    return np.packbits(np.bincount((hashes & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP).astype(np.uint8) & 1).tobytes()
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     text = text_of("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
 
 
-def nodes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, tie, node, n_shingles) for every row; ``tie`` is a hash of the text."""
+NODES = "doc_id long, tie long, node long, n_shingles long, bits binary, part int, counts binary"
+
+
+def nodes(docs: DataFrame, size: int = SHINGLE, bits: int = SKETCH_BITS) -> DataFrame:
+    """(doc_id, tie, node, n_shingles, bits) for every row, ``tie`` a hash of the text; and in rows with a
+    ``part`` the sketch of each task: shingles counted by their first ``bits`` bits, in SKETCH_PARTS parts."""
+    width = (1 << bits) // SKETCH_PARTS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << bits, dtype=np.int64)
         for pdf in batches:
             sets = [shingle_set(t, size) for t in pdf["text"]]
+            for s in sets:
+                np.add.at(total, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
             yield pd.DataFrame(
                 {
                     "doc_id": pdf["doc_id"].astype("Int64"), "tie": pdf["tie"],
                     "node": [node_of(s) for s in sets], "n_shingles": [len(s) for s in sets],
+                    "bits": [parity(s) for s in sets], "part": None, "counts": None,
                 }
             )
+        for i in range(SKETCH_PARTS):
+            piece = total[i * width : (i + 1) * width]
+            if piece.any():
+                yield pd.DataFrame(
+                    {
+                        "doc_id": [None], "tie": [None], "node": [None], "n_shingles": [None], "bits": [None],
+                        "part": [i], "counts": [piece.tobytes()],
+                    }
+                )
 
-    return _texts(docs).mapInPandas(run, "doc_id long, tie long, node long, n_shingles long")
+    return _texts(docs).mapInPandas(run, NODES)
 
 
-def heat(docs: DataFrame, size: int = SHINGLE, bits: int = SKETCH_BITS) -> np.ndarray:
+def heat(sketches: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     """A level per hash bucket: 0 for ordinary counts, more for buckets with far more shingles than the mean.
 
-    The sketch counts every document; its size is fixed. Partial sketches are summed in two
-    steps, so no task sees them all.
+    The sketch counts every document; its size is fixed. Partial sketches (part, counts) are added in steps, so no
+    task sees them all.
     """
     width = (1 << bits) // SKETCH_PARTS
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << bits, dtype=np.int64)
-        for pdf in batches:
-            for t in pdf["text"]:
-                s = (shingle_set(t, size) >> np.uint64(64 - bits)).astype(np.int64)
-                np.add.at(total, s, 1)
-        for i in range(SKETCH_PARTS):
-            yield pd.DataFrame({"part": [i], "counts": [total[i * width : (i + 1) * width].tobytes()]})
-
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width, dtype=np.int64)
         for raw in pdf["counts"]:
             total += np.frombuffer(raw, dtype=np.int64)
         return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [total.tobytes()]})
 
-    schema = "part int, counts binary"
-    partial = _texts(docs).select("text").mapInPandas(count, schema).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(256)))
-    summed = partial.groupBy("part", "task").applyInPandas(lambda pdf: add(pdf), schema)
-    rows = summed.groupBy("part").applyInPandas(add, schema).collect()  # SKETCH_PARTS rows of fixed size
+    rows = sketches.select("part", "counts")
+    for groups in SKETCH_STEPS:
+        dealt = F.pmod(F.monotonically_increasing_id(), F.lit(groups)) if groups > 1 else F.lit(0)
+        rows = rows.withColumn("g", dealt).groupBy("part", "g").applyInPandas(lambda pdf: add(pdf), "part int, counts binary")
     total = np.zeros(1 << bits, dtype=np.int64)
-    for r in rows:
+    for r in rows.collect():  # SKETCH_PARTS rows of fixed size
         total[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["counts"], dtype=np.int64)
     mean = max(1.0, total.mean())
     z = (total - mean) / (6 * np.sqrt(mean))
@@ -174,27 +197,51 @@ def members(cell_rows: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(node, hashes) of the wanted nodes, from one document each."""
+    """(node, hashes) of the wanted nodes, from one document each, found by its id and text hash."""
     one = (
         known.join(wanted, "node", "left_semi")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select(F.col("doc_id").alias("d"), "node")
+        .agg(F.min(F.struct("doc_id", "tie")).alias("one"))
+        .select(F.col("one.doc_id").alias("d"), F.col("one.tie").alias("z"), "node")
     )
-    texts = _texts(docs).join(one, F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "text")
+    met = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("z"))
+    texts = _texts(docs).join(one, met).select("node", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingle_set(t, size) for t in pdf["text"]]
-            ok = [node_of(s) == n for s, n in zip(sets, pdf["node"], strict=True)]  # ids may repeat
-            yield pd.DataFrame(
-                {
-                    "node": [n for n, k in zip(pdf["node"], ok, strict=True) if k],
-                    "hashes": [s.tobytes() for s, k in zip(sets, ok, strict=True) if k],
-                }
-            )
+            yield pd.DataFrame({"node": pdf["node"], "hashes": [s.tobytes() for s in sets]})
+
+    # repeated rows have the same id and text
+    return texts.dropDuplicates(["node"]).mapInPandas(run, "node long, hashes binary")
 
-    return texts.mapInPandas(run, "node long, hashes binary").dropDuplicates(["node"])
+
+def differs(n1: np.ndarray, n2: np.ndarray, percent: int) -> np.ndarray:
+    """The most shingles in which linked sets of these sizes differ."""
+    return n1 + n2 - 2 * -(-percent * (n1 + n2) // (100 + percent))
+
+
+def hamming(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
+def _bitmaps(raw) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), dtype=np.uint64).reshape(len(raw), BITMAP // 64)
+
+
+def allowed(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs whose bitmaps allow a link; ``bits`` has (node, n, bits)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            n1, n2 = pdf["n1"].to_numpy(np.int64), pdf["n2"].to_numpy(np.int64)
+            near = hamming(_bitmaps(pdf["x"]), _bitmaps(pdf["y"])) <= differs(n1, n2, percent)
+            yield pdf.loc[near, ["a", "b"]]
+
+    x = bits.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n").alias("n1"))
+    y = bits.select(F.col("node").alias("b"), F.col("bits").alias("y"), F.col("n").alias("n2"))
+    met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n1", "n2")
+    return met.mapInPandas(run, "a long, b long")
 
 
 def measure(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -231,72 +278,139 @@ def _pairs(rows: DataFrame, left: str, right: str, percent: int) -> DataFrame:
     )
 
 
-def link(docs: DataFrame, known: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(a, b) links between nodes that connect the same nodes as all links do.
+def link(docs: DataFrame, known: DataFrame, levels: np.ndarray, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(node, root) of the components of linked nodes.
 
-    Round 0 measures every member against its cell's first pivot. Later rounds draw more
-    pivots, about 8, 64, 512, ... per cell, in the cells that still hold several components,
-    and measure them against members of other components inside the ring. A cell is done
-    when all its members were pivots, so the rounds end with the largest unsettled cell and
-    no pair is left out; round 1 only looks at one cell in eight, as near copies share most
-    of their cells and one comparison settles all of those.
+    Round 0 measures every member against its cell's pivot. Later rounds measure pairs of different
+    components in the cells that hold several; they end when no region left a pair out.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.store(members(cells(docs, heat(docs, size), size, percent)), "cells")
+    rows = scratch.store(members(cells(docs, levels, size, percent)), "cells")
+    bits = scratch.store(
+        known.filter("node <> 0").groupBy("node").agg(F.first("bits").alias("bits"), F.first("n_shingles").cast("int").alias("n")), "bits"
+    )
     linked = 100 * F.col("inter") >= percent * F.col("total")
-    sets = None
-    wanted = _pairs(rows, "m", "p", percent)
-    measured = None
-    pivots, every = 1, 1
+    wanted, measured, parts, closest, left = _pairs(rows, "m", "p", percent), None, None, CLOSEST, True
     while True:
-        pairs = scratch.replace(wanted, "pairs")
+        pairs = scratch.replace(allowed(wanted, bits, percent), "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        fresh = ends if sets is None else ends.join(sets, "node", "left_anti")
-        fresh = scratch.store(sets_of(docs, known, fresh, size), "sets")
-        sets = fresh if sets is None else sets.unionByName(fresh)
+        sets = scratch.replace(sets_of(docs, known, ends, size), "sets")
         now = measure(pairs, sets, scratch)
-        measured = now if measured is None else measured.unionByName(now)
-        links = measured.filter(linked).select("a", "b")
-        parts = scratch.replace(connected_components(links), "parts")
-        rows = scratch.replace(_unsettled(rows, parts, pivots if every == 1 and pivots > 1 else 0), "cells")
-        largest = rows.agg(F.max("k")).first()[0]
-        if largest is None:
-            links = materialise(links, "links")
-            scratch.release()
-            return links
-        every = 8 if pivots == 1 else 1
-        pivots *= 8
-        wanted = _next_pairs(rows, measured, pivots, every, percent)
-
-
-def _unsettled(rows: DataFrame, parts: DataFrame, pivots: int) -> DataFrame:
-    """The rows, with their components, of cells that hold several components and were not compared throughout."""
+        measured = now.select("a", "b") if measured is None else measured.unionByName(now.select("a", "b"))
+        fresh = now.filter(linked).select("a", "b")
+        # what was connected before is as well connected by its roots
+        edges = fresh if parts is None else fresh.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        parts = scratch.replace(connected_components(edges, "parts-of", scratch), "parts")
+        if not left:
+            break
+        rows = scratch.replace(_unsettled(rows, parts), "cells")
+        found = scratch.replace(_meet(rows, bits, closest, percent), "met")
+        left = not found.filter("more").isEmpty()
+        wanted = found.filter("NOT more").select("a", "b").distinct().join(measured, ["a", "b"], "left_anti")
+        closest *= 16
+        if not left and wanted.isEmpty():
+            break
+    roots = materialise(parts, "roots")
+    scratch.release()
+    return roots
+
+
+def _unsettled(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows, with their components, of cells that hold several components."""
     roots = parts.select(F.col("node").alias("x"), F.col("root").alias("y"))
     rows = (
         rows.drop("r").join(roots, F.col("m.node") == F.col("x"), "left")
         .select("cell", "k", "m", "p", F.coalesce("y", "m.node").alias("r"))
     )
-    several = rows.filter(F.col("k") > pivots).groupBy("cell").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
+    several = rows.groupBy("cell").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
     return rows.join(several.filter("lo <> hi").select("cell"), "cell", "left_semi")
 
 
-def _next_pairs(rows: DataFrame, measured: DataFrame, pivots: int, every: int, percent: int) -> DataFrame:
-    """Unmeasured pairs of new pivots with members of other components, inside the rings around the first pivot."""
-    draw = F.pmod(F.xxhash64("m.node"), F.lit(1 << 30)) * F.col("k") < F.lit(pivots << 30)
-    some = rows.filter(F.pmod(F.xxhash64("cell"), F.lit(every)) == 0) if every > 1 else rows
-    d = measured.select("a", "b", (1 - F.col("inter") / F.col("total")).alias("d"))
-    first = (F.least("m.node", "p.node") == F.col("a")) & (F.greatest("m.node", "p.node") == F.col("b"))
-    some = some.join(d, first, "left").drop("a", "b")
-    drawn = some.filter(draw).select("cell", F.col("m").alias("o"), F.col("r").alias("ro"), F.col("d").alias("do"))
-    ring = F.coalesce(F.abs(F.col("do") - F.col("d")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    met = drawn.join(some.select("cell", "m", "r", "d"), "cell").filter("ro <> r").filter(ring)
-    return _pairs(met, "o", "m", percent).join(measured.select("a", "b"), ["a", "b"], "left_anti")
+def _meet(rows: DataFrame, bits: DataFrame, closest: int, percent: int) -> DataFrame:
+    """(a, b, more): pairs of different components that may link, the ``closest`` of each two components of a region.
+
+    A row with ``more`` says that a region has further ones.
+    """
+    sizes = rows.groupBy("cell", "r").agg(F.count(F.lit(1)).alias("c"))
+    big = sizes.groupBy("cell").agg(F.max(F.struct("c", "r")).alias("big"), F.sum("c").alias("all"))
+    big = big.select(
+        "cell", F.col("big.r").alias("big"), F.ceil(F.col("big.c") / REGION).cast("int").alias("nl"),
+        F.ceil((F.col("all") - F.col("big.c")) / REGION).cast("int").alias("nr"),
+    )
+    own = F.col("r") == F.col("big")
+    piece = F.pmod(F.xxhash64("m.node"), F.when(own, F.col("nl")).otherwise(F.col("nr"))).cast("int")
+    # every piece of the largest component meets every piece of the rest; those also meet each other
+    among = F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: j != F.col("i")),
+        lambda j: F.struct(F.lit(1).alias("kind"), F.least(j, F.col("i")).alias("u"), F.greatest(j, F.col("i")).alias("v")),
+    )
+    with_big = F.transform(F.sequence(F.lit(0), F.col("nl") - 1), lambda j: F.struct(F.lit(0).alias("kind"), j.alias("u"), F.col("i").alias("v")))
+    with_rest = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: F.struct(F.lit(0).alias("kind"), F.col("i").alias("u"), j.alias("v")))
+    dealt = rows.join(big, "cell").withColumn("i", piece).withColumn("own", own)
+    dealt = dealt.withColumn("at", F.explode(F.when(F.col("own"), with_rest).otherwise(F.concat(with_big, among))))
+    region = F.xxhash64("cell", "at.kind", "at.u", "at.v")
+    dealt = dealt.select(region.alias("region"), F.col("m.node").alias("node"), F.col("m.pos").alias("pos"), "r")
+    dealt = dealt.join(bits, "node").select("region", "node", "n", "pos", "r", "bits")
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            held.append(pdf)
+            if sum(map(len, held)) < BATCH_ROWS:
+                continue
+            whole = pd.concat(held, ignore_index=True)
+            last = whole["region"] == whole["region"].iloc[-1]  # may go on; a region has at most a few REGION rows
+            if not last.all():
+                yield _region_pairs(whole[~last], closest, percent)
+            held = [whole[last]]
+        if held:
+            yield _region_pairs(pd.concat(held, ignore_index=True), closest, percent)
+
+    return dealt.repartition(n, "region").sortWithinPartitions("region").mapInPandas(walk, "a long, b long, more boolean")
+
+
+def _region_pairs(rows: pd.DataFrame, closest: int, percent: int) -> pd.DataFrame:
+    """The pairs of ``_meet`` among whole regions, in numpy; rows are sorted by region."""
+    region, node, n, pos, r = (rows[c].to_numpy(np.int64) for c in ("region", "node", "n", "pos", "r"))
+    bits = _bitmaps(rows["bits"])
+    edges = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
+    of_region = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    found = [np.zeros((5, 0), np.int64)]
+    for d in range(1, int(np.diff(edges).max(initial=0))):  # members d places apart in their region
+        x = np.flatnonzero(region[:-d] == region[d:])
+        y = x + d
+        small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        need = -(-percent * (n[x] + n[y]) // (100 + percent))
+        rest = np.minimum(n[x] - pos[x], n[y] - pos[y])
+        ok = (r[x] != r[y]) & (node[x] != node[y]) & (100 * small >= percent * large) & (rest >= need)
+        x, y = x[ok], y[ok]
+        far = hamming(bits[x], bits[y])
+        ok = far <= differs(n[x], n[y], percent)
+        x, y, far = x[ok], y[ok], far[ok]
+        found.append(np.stack([of_region[x], np.minimum(r[x], r[y]), np.maximum(r[x], r[y]), far, x * len(rows) + y]))
+        if sum(f.shape[1] for f in found) > 4 * BATCH_ROWS:
+            found = [_nearest(np.concatenate(found, axis=1), closest + 1)]  # one more, to tell that there is more
+    best = _nearest(np.concatenate(found, axis=1), closest + 1)
+    kept = _nearest(best, closest)
+    x, y = kept[4] // max(1, len(rows)), kept[4] % max(1, len(rows))
+    out = pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y]), "more": False})
+    return pd.concat([out, pd.DataFrame({"a": [0], "b": [0], "more": [True]})]) if best.shape[1] > kept.shape[1] else out
+
+
+def _nearest(found: np.ndarray, most: int) -> np.ndarray:
+    """Of (region, component, component, distance, pair) columns the first ``most`` by distance of each two components."""
+    found = found[:, np.lexsort(found[::-1])]
+    same = (found[:3, 1:] == found[:3, :-1]).all(axis=0)
+    start = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]) if found.shape[1] else np.zeros(0, bool), np.arange(found.shape[1]), 0))
+    return found[:, np.arange(found.shape[1]) - start < most]
 
 
 def components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, tie, node, part) for every row; ``part`` names the component by a node."""
-    known = materialise(nodes(docs, size), "nodes")
-    roots = connected_components(link(docs, known, size, percent))
+    stored = materialise(nodes(docs, size), "nodes")
+    known = stored.filter("part IS NULL").drop("part", "counts")
+    roots = link(docs, known, heat(stored.filter("part IS NOT NULL")), size, percent)
     joined = known.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
     least = joined.filter("node <> 0").groupBy("part").agg(F.min("doc_id").alias("least"))
     return joined.join(least, "part", "left").select(
@@ -306,18 +420,18 @@ def components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """One row of ``docs`` per component of ``found``, the one with the smallest id, then text hash; texts without words all stay."""
+    """One row of ``docs`` per component of ``found``, the one with the smallest id, then text hash; texts without words all stay.
+
+    The caller's row travels as one struct, so its column names may be any.
+    """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = found.select(key.alias("_k"), F.col("tie").alias("_tie"), "node", "part")
-    best = rows.filter("node <> 0").groupBy("part").agg(F.min(F.struct("_k", "_tie")).alias("b")).select(
-        "b._k", "b._tie", F.lit(False).alias("_all")
+    rows = found.select(key.alias("k"), "tie", "node", "part")
+    best = rows.filter("node <> 0").groupBy("part").agg(F.min(F.struct("k", "tie")).alias("b")).select(
+        "b.k", "b.tie", F.lit(False).alias("whole")
     )
-    kept = best.union(rows.filter("node = 0").select("_k", "_tie", F.lit(True)).distinct())
-    nth = F.row_number().over(W.partitionBy("_k", "_tie").orderBy(F.lit(0)))
-    return (
-        docs.withColumn("_k", key).withColumn("_tie", F.xxhash64(text_of("text")))
-        .join(kept, ["_k", "_tie"])
-        .withColumn("_nth", nth)
-        .filter("_all OR _nth = 1")
-        .select(*docs.columns)
+    kept = best.union(rows.filter("node = 0").select("k", "tie", F.lit(True)).distinct())
+    nth = F.row_number().over(W.partitionBy("k", "tie").orderBy(F.lit(0)))
+    held = docs.select(
+        key.alias("k"), F.xxhash64(text_of("text")).alias("tie"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     )
+    return held.join(kept, ["k", "tie"]).withColumn("nth", nth).filter("whole OR nth = 1").select("row.*")
