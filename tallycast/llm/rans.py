@@ -1,6 +1,6 @@
 """Token-ID output coded with a static range asymmetric numeral system.
 
-``tokenise`` encodes whole texts; ``frequency_table`` counts every token of the corpus and
+``tokenise`` encodes whole texts and counts their ids on the way; ``frequency_table`` sums the counts of the corpus and
 scales the counts to a shared table; ``encode`` sorts documents by id over shards and packs
 them into independent blocks, each coded by LANES interleaved coders in numpy; ``write``
 stores blocks and table as files; ``read_back`` decodes blocks in parallel, checks their
@@ -16,7 +16,7 @@ several places at once; ``crc`` is the CRC-32 of the block's ids as little-endia
 Blocks hold whole documents and follow each other in ascending document id.
 
 Null text is an empty document: it has the end id only. Repeated ids are separate documents,
-ordered by id, then by their tokens. Null ids come first. An empty table gives no blocks.
+ordered by id, then by their tokens' checksum. Null ids come first. An empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import materialise, parallelism, text_of, worker_state
+from tallycast.llm.common import Scratch, parallelism, text_of, worker_state
 from tallycast.session import scratch_path
 
 END_ID = 2
@@ -43,7 +43,7 @@ LANES = 2048
 BLOCK_TOKENS = 1 << 20
 CHECKPOINT_ROWS = 128
 LOW = np.uint64(1 << 32)
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000  # per generation; what the last one held is not encoded anew
 
 # The byte-level pre-tokenizer's split (letters, contractions, digits, other signs, white space),
 # written for texts of ASCII and Latin letters. Other texts go to the library whole.
@@ -81,25 +81,25 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.code, self.dtype = ("H", np.uint16) if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", np.uint32)
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def _piece(self, piece: str) -> bytes:
+        if piece in self.old:
+            return self.old[piece]
         written = piece.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if not self.pieces or _OTHER.search(text) or self.special.search(text):
             return self.whole(text)
+        if len(self.cache) > CACHE_PIECES:
+            self.old, self.cache = self.cache, {}
         pieces, known = _PIECE.findall(text), self.cache
-        new = set(pieces).difference(known)
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = set(pieces)
-            for p in new:
-                known[p] = self._piece(p)
+        for p in set(pieces).difference(known):
+            known[p] = self._piece(p)
         raw = b"".join(map(known.__getitem__, pieces))
         return np.frombuffer(raw, dtype=self.dtype).astype(np.uint32)
 
@@ -121,25 +121,36 @@ def _batches_of(pdf: pd.DataFrame, chars: int = 4_000_000) -> Iterator[pd.DataFr
             yield pdf.iloc[lo:hi]
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids as little-endian uint32, the end id last. Stored."""
+TOKENS = "doc_id long, n_tokens long, ids binary, tie long"
+
+
+def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+    """The rows of ``tokenise``, and in rows with ``counts`` the occurrences of every id in a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_path)
+        total = np.zeros(1, dtype=np.int64)
         for pdf in batches:
             for part in _batches_of(pdf):
                 ids = [np.append(e, np.uint32(end_id)) for e in map(encoder.encode, part["text"])]
+                c = np.bincount(np.concatenate(ids))
+                total = np.pad(total, (0, max(0, len(c) - len(total))))
+                total[: len(c)] += c
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].astype("Int64"),
-                        "n_tokens": [len(i) for i in ids],
-                        "ids": [_pack(i) for i in ids],
+                        "doc_id": part["doc_id"].astype("Int64"), "n_tokens": [len(i) for i in ids], "ids": [_pack(i) for i in ids],
+                        "tie": [_crc(i) for i in ids], "counts": None,
                     }
                 )
+        if total.any():
+            yield pd.DataFrame({"doc_id": [None], "n_tokens": [None], "ids": [None], "tie": [None], "counts": [total.tobytes()]})
 
-    return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInPandas(
-        run, "doc_id long, n_tokens long, ids binary"
-    )
+    return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInPandas(run, TOKENS + ", counts binary")
+
+
+def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, n_tokens, ids, tie): ids packed (``_unpack``), the end id last; ``tie`` is their checksum."""
+    return _tokens(docs, tokenizer_path, end_id).filter("counts IS NULL").drop("counts")
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -155,20 +166,25 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def frequency_table(tokenised: DataFrame, scale_bits: int = SCALE_BITS) -> DataFrame:
-    """(token, frequency): counts of the whole corpus, scaled; at least 1 each, below 2**scale_bits in all."""
+    """(token, frequency): counts of the whole corpus, scaled; at least 1 each, below 2**scale_bits in all.
+
+    Reads (ids), or where ``tokenised`` has them the (counts) of tasks.
+    """
+    counted = "counts" in tokenised.columns
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1, dtype=np.int64)
         for pdf in batches:
-            for raw in pdf["ids"]:
-                c = np.bincount(_unpack(raw))
+            for raw in pdf.iloc[:, 0]:
+                c = np.frombuffer(raw, np.int64) if counted else np.bincount(_unpack(raw))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[: len(c)] += c
         token = np.flatnonzero(total)
         yield pd.DataFrame({"token": token, "n": total[token]})
 
-    counts = tokenised.select("ids").mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = tokenised.filter("counts IS NOT NULL").select("counts") if counted else tokenised.select("ids")
+    counts = rows.mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = sorted((r["token"], r["n"]) for r in counts.collect())  # one row per id of the vocabulary
     tokens = np.array([t for t, _ in rows], dtype=np.int64)
     freq = scale_counts(np.array([n for _, n in rows], dtype=np.int64), scale_bits)
@@ -306,8 +322,8 @@ def encode(tokenised: DataFrame, table: DataFrame, block_tokens: int = BLOCK_TOK
             yield flush()
 
     return (
-        tokenised.repartitionByRange(parallelism(spark), "doc_id")
-        .sortWithinPartitions("doc_id", "ids")
+        tokenised.repartitionByRange(parallelism(spark), "doc_id", "tie")  # one id may have many rows
+        .sortWithinPartitions("doc_id", "tie", "ids")
         .select("doc_id", "ids", F.spark_partition_id().alias("shard"))
         .mapInPandas(run, BLOCKS)
     )
@@ -316,6 +332,8 @@ def encode(tokenised: DataFrame, table: DataFrame, block_tokens: int = BLOCK_TOK
 def write(tokenised: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> str:
     """Write the table and the blocks under ``path``."""
     table = frequency_table(tokenised)
+    if "counts" in tokenised.columns:
+        tokenised = tokenised.filter("counts IS NULL").drop("counts")
     table.coalesce(1).write.parquet(f"{path}/table")
     stored = tokenised.sparkSession.read.parquet(f"{path}/table")
     encode(tokenised, stored, block_tokens).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
@@ -369,5 +387,8 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Tokenise, write the files to the scratch folder and read them back."""
     spark = docs.sparkSession
-    tokenised = materialise(tokenise(docs, tokenizer_path), "tokens")
-    return read_back(spark, write(tokenised, scratch_path(spark, "rans")))
+    scratch = Scratch(spark)
+    tokenised = scratch.store(_tokens(docs, tokenizer_path, END_ID), "tokens")
+    path = write(tokenised, scratch_path(spark, "rans"))
+    scratch.release()
+    return read_back(spark, path)
