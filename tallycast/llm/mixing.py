@@ -30,7 +30,8 @@ from tallycast.llm.common import WORD, let, materialise, text_of
 WEIGHTS = (5.0, 2.0, 1.0)   # by rank of the source, repeating
 MAX_REPEATS = 3
 BLOCK_WORDS = 32
-SHARD_SLOTS = 1 << 16       # slots of an output shard; the driver holds one count per shard and source
+SHARD_SLOTS = 1 << 16       # slots of an output shard
+DRAWN_SHARDS = 4096         # shards, or groups of shards, that the driver draws counts for
 CHUNK_ROWS = 4096           # documents per chunk of the packing order, about
 SEED = 20240117
 
@@ -119,12 +120,12 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 def pack(sized: DataFrame, plan: DataFrame, n_rows: int) -> DataFrame:
     """``sized`` plus its source's plan and ``start``, its place in the source's stream.
 
-    The order is by hashed chunk, then id: prefix sums need one row per chunk and, within a
+    The order is by chunk, hashed from id and text, then id: prefix sums need one row per chunk and, within a
     chunk, about CHUNK_ROWS rows, however large the source.
     """
     chunks = max(1, n_rows // CHUNK_ROWS)
     d = sized.join(plan, sized["source"].eqNullSafe(plan["source"])).drop(plan["source"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(chunks))
+        "chunk", F.pmod(F.xxhash64("doc_id", "tie", F.lit(SEED)), F.lit(chunks))
     )
     before = W.partitionBy("rank").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     bases = (
@@ -142,14 +143,32 @@ def pack(sized: DataFrame, plan: DataFrame, n_rows: int) -> DataFrame:
 
 def shown_blocks(spark, plan: pd.DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """(rank, block, times): how often the mixture shows each block that it shows."""
-    draws = draw_shards(list(plan["n_slots"]), shard_slots, seed)
+    # the driver draws groups of shards, at most DRAWN_SHARDS of them; tasks draw the shards of a group
+    group = shard_slots * max(1, -(-int(sum(plan["n_slots"])) // (shard_slots * DRAWN_SHARDS)))
+    draws = draw_shards(list(plan["n_slots"]), group, seed)
     by_rank = {int(r): (int(n)) for r, n in zip(plan["rank"], plan["n_blocks"], strict=True)}
-    rows = [(s, r, f, c, by_rank[r]) for s, r, f, c in draws]
+    groups: dict[int, list[tuple[int, int, int, int]]] = {}
+    for g, r, f, c in draws:
+        groups.setdefault(g, []).append((r, f, c, by_rank[r]))
+    parts = max(1, min(len(groups), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    drawn = spark.createDataFrame(
+        list(groups.items()), "shard long, parts array<struct<rank:long,first:long,count:long,n_blocks:long>>"
+    ).repartition(parts)
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for g, held in zip(pdf["shard"], pdf["parts"], strict=True):
+                rank, first, count, n = (np.array([x[k] for x in held], np.int64) for k in ("rank", "first", "count", "n_blocks"))
+                rows = [
+                    (s, rank[i], first[i] + f, c, n[i])
+                    for s, i, f, c in (draw_shards(count.tolist(), shard_slots, seed + 1 + int(g)) if count.sum() > shard_slots else
+                                       [(0, i, 0, c) for i, c in enumerate(count.tolist())])
+                ]
+                yield pd.DataFrame(rows, columns=["shard", "rank", "first", "count", "n_blocks"])
+
     schema = "shard long, rank long, first long, count long, n_blocks long"
-    slots = (
-        spark.createDataFrame(rows, schema)
-        .repartition(max(1, min(len(rows), int(spark.conf.get("spark.sql.shuffle.partitions")))))
-        .select("shard", "rank", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("slot"))
+    slots = drawn.mapInPandas(split, schema).select(
+        "shard", "rank", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("slot")
     )
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,7 +203,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     key = ["rank", "start", "doc_id", "source", "size", "tie", "source_size", "target"]
     taken = (
         _overlaps(packed, block_words)
-        .join(shown, ["rank", "block"])
+        .join(shown.hint("merge"), ["rank", "block"])
         .groupBy(*key)
         .agg(
             F.sum(F.col("words") * F.col("times")).alias("taken"),
@@ -212,19 +231,20 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     its text, one that is not shown is gone.
     """
     mixed = mix(docs, **options).filter("taken > 0").select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("tie").alias("_t"), "shown",
+        F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("tie").alias("t"), "shown",
         # rows repeated as a whole meet one plan each
-        F.row_number().over(W.partitionBy("doc_id", "source", "tie").orderBy(F.col("taken").desc(), F.to_json("shown"))).alias("_n"),
+        F.row_number().over(W.partitionBy("doc_id", "source", "tie").orderBy(F.col("taken").desc(), F.to_json("shown"))).alias("n"),
     )
-    rows = docs.withColumn("_tie", F.xxhash64(text_of("text"))).withColumn(
-        "_nth", F.row_number().over(W.partitionBy("doc_id", "source", "_tie").orderBy(F.monotonically_increasing_id()))
+    # the caller's row travels as one struct, so its column names may be any
+    rows = docs.select(
+        "doc_id", "source", "text", F.xxhash64(text_of("text")).alias("tie"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     )
+    rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("doc_id", "source", "tie").orderBy(F.monotonically_increasing_id())))
     joined = rows.join(
-        mixed,
-        F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-        & (F.col("_tie") == F.col("_t")) & (F.col("_nth") == F.col("_n")),
+        mixed.hint("merge"),
+        F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s"))
+        & (F.col("tie") == F.col("t")) & (F.col("nth") == F.col("n")),
     )
-    keep = [c for c in docs.columns]
     # words with the white space after them; the first one also keeps the text's leading space
     pieces = F.regexp_extract_all("text", F.lit(r"(^[\x20\x09-\x0D]*)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     passes = F.sequence(F.lit(1), F.array_max(F.transform("shown", lambda s: s["times"])).cast("int"))
@@ -233,14 +253,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         lambda p: F.array_join(
             F.flatten(
                 F.transform(
-                    F.filter("shown", lambda s: s["times"] >= F.col("_pass")),
+                    F.filter("shown", lambda s: s["times"] >= F.col("pass")),
                     lambda s: F.slice(p, (s["from"] + 1).cast("int"), s["words"].cast("int")),
                 )
             ),
             "",
         ),
     )
-    out = joined.withColumn("_pass", F.explode(passes)).withColumn("text", part)
+    out = joined.withColumn("pass", F.explode(passes)).select("row", part.alias("part"))
+    made = {"text": F.col("part")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*keep)
+        made["n_chars"] = F.length("part").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[made[c].alias(c) if c in made else F.col("row").getField(c).alias(c) for c in docs.columns])
