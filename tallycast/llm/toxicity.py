@@ -8,9 +8,8 @@ one insult in a long text is not averaged away and an unseen misspelling scores
 n-grams it shares.
 
 Training reads a bounded sample of the labelled rows: per class at most SAMPLE_ROWS, in
-order of a hash of the id, texts over SAMPLE_CHARS characters left out, each row weighted by
-its class's share so that scores keep the corpus's rate. Scoring reads every whole text in
-Arrow batches; long texts are walked in pieces. Only the text enters a score.
+order of a hash of the id, texts whole, each row weighted by its class's share so
+that scores keep the corpus's rate. Scoring reads every whole text in Arrow batches; long texts are walked in pieces. Only the text enters a score.
 
 Null or empty text has one empty window and gets the model's base score. A document labelled
 more than once is toxic if any label says so; null labels are ignored. Without labels of
@@ -37,7 +36,6 @@ NGRAMS = (3, 4, 5, 6)
 WINDOW = 2
 THRESHOLD = 0.3
 SAMPLE_ROWS = {1: 1500, 0: 3000}
-SAMPLE_CHARS = 20_000
 STEPS = 150
 MIN_DOCS = 3
 RATES = (0.6, 0.1, 0.2)  # embeddings, softmax direction, bias
@@ -105,7 +103,7 @@ def _segment_mean(values: np.ndarray, first: np.ndarray, total: int) -> np.ndarr
 
 
 def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int = STEPS) -> Model:
-    """Fit embeddings and softmax on whole texts by Adam over the full sample."""
+    """Fit embeddings and softmax on whole texts, by momentum with one step size per tensor over the full sample."""
     positive = float(weights[labels == 1].sum() / weights.sum()) if len(labels) else 0.0
     if not 0.0 < positive < 1.0:
         return Model(np.zeros(0, np.float32), 0.0, positive)
@@ -115,6 +113,8 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
         ws = words_of(t)
         ids.append(np.fromiter((index.setdefault(w, len(index)) for w in ws), dtype=np.int32, count=len(ws)))
         lens.append(len(ws))
+    if not index:
+        return Model(np.zeros(0, np.float32), 0.0, positive)
     flat = np.concatenate(ids)
     doc_start = np.concatenate([[0], np.cumsum(lens)])[:-1]
     n_win = np.maximum(1, -(-np.array(lens) // WINDOW))
@@ -123,20 +123,25 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
     win_len = np.diff(np.append(win_first, len(flat)))
     names, n_words = list(index), len(index)
     del index
-    parts, sizes = [], []
-    for i in range(0, n_words, 20_000):  # in parts: the n-grams of all words at once would fill the driver
+    parts = []  # (words, their subwords, first and number per word): those of all words at once would fill the driver
+    for i in range(0, n_words, 20_000):
         bucket, first = subwords(names[i : i + 20_000])
-        parts.append(bucket)
-        sizes.append(np.diff(np.append(first, len(bucket))).astype(np.int32))
+        parts.append((slice(i, i + len(first)), bucket, first, np.diff(np.append(first, len(bucket)))))
     del names
-    local, sub_len = np.concatenate(parts), np.concatenate(sizes)
-    del parts, sizes
-    first = np.cumsum(sub_len, dtype=np.int64) - sub_len
+
+    def spread(values: np.ndarray) -> np.ndarray:
+        """Values of the words, added up over their subwords by bucket."""
+        out = np.zeros(BUCKETS)
+        for words, bucket, _, n in parts:
+            out += np.bincount(bucket, np.repeat(values[words], n), minlength=BUCKETS)
+        return out
+
     # n-grams of fewer than MIN_DOCS sampled documents carry no evidence beyond their own document
     word_doc = np.unique(np.repeat(np.arange(len(lens), dtype=np.int64), lens) * n_words + flat)
     word_df = np.bincount(word_doc % n_words, minlength=n_words)
     del word_doc
-    common = np.bincount(local, np.repeat(word_df.astype(np.float32), sub_len), minlength=BUCKETS) >= MIN_DOCS
+    common = spread(word_df) >= MIN_DOCS
+    sub_len = np.concatenate([n for *_, n in parts]) if parts else np.zeros(0, np.int64)
 
     rng = np.random.default_rng(SEED)
     emb = (rng.standard_normal((BUCKETS, DIM), dtype=np.float32) * 0.1 * common[:, None]).astype(np.float32)
@@ -148,7 +153,7 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
     share = (weights / weights.sum()).astype(np.float64)
     for step in range(1, steps + 1):
         a = emb @ direction
-        word = np.add.reduceat(a[local], first) / sub_len
+        word = np.concatenate([np.add.reduceat(a[bucket], first) for _, bucket, first, _ in parts]) / sub_len
         z = bias[0] + np.add.reduceat(word[flat], win_first) / win_len
         soft = np.logaddexp(0.0, z)
         s = np.bincount(win_doc, soft, minlength=len(y))
@@ -158,7 +163,7 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int
         ds = np.where(y, -1.0 / np.expm1(np.minimum(s, 50.0)), 1.0) * share
         dz = ds[win_doc] / (1.0 + np.exp(-z))
         dword = np.bincount(flat, np.repeat(dz / win_len, win_len), minlength=n_words)
-        da = np.bincount(local, np.repeat((dword / sub_len).astype(np.float32), sub_len), minlength=BUCKETS).astype(np.float32)
+        da = spread((dword / sub_len).astype(np.float32)).astype(np.float32)
         da *= common
         grads = [da[:, None] * direction[None, :], emb.T @ da, np.array([dz.sum()], np.float32)]
         # momentum with one step size per tensor: evidence shared by many documents moves first,
@@ -230,7 +235,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: dict[int, i
         ids = marks.filter(F.col("y") == y).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
         rows = (
             docs.select(F.col("doc_id").alias("d"), text_of("text").alias("text"))
-            .filter(F.length("text") <= SAMPLE_CHARS)
             .join(ids, F.col("d") == F.col("doc_id"), "left_semi")
             .orderBy(F.xxhash64("d"), "d", "text")
             .limit(bound)
