@@ -254,6 +254,7 @@ def _found_in(docs: DataFrame, parts: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     schema = "tie long, doc_id long, key long, piece int, edits int, length int, segments int, start long, end long"
     out = spark.createDataFrame([], schema)
+    several = (parts.agg(F.sum("chars")).first()[0] or 0) > BLOCK_CHARS
     for block in blocks(parts):
         shared = spark.sparkContext.broadcast(block)
 
@@ -267,7 +268,11 @@ def _found_in(docs: DataFrame, parts: DataFrame) -> DataFrame:
                     columns = ["tie", "doc_id", "key", "piece", "edits", "length", "segments", "start", "end"]
                     yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
-        out = out.union(texts.mapInPandas(run, schema))
+        found = texts.mapInPandas(run, schema)
+        if several:  # a block is done with before the next is sent
+            found = materialise(found, "found-in-block")
+            shared.unpersist()
+        out = out.union(found)
     return out
 
 
@@ -304,6 +309,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Rows are judged by their own text: others with the same id, or no id either, stay.
     """
-    bad = _found_in(docs, distinct_pieces(_items(benchmark))).select(F.col("doc_id").alias("_bad"), F.col("tie").alias("_tie")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")) & (F.xxhash64(text_of("text")) == F.col("_tie"))
-    return docs.join(bad, same, "left_anti")
+    bad = _found_in(docs, distinct_pieces(_items(benchmark))).select(F.col("doc_id").alias("of"), F.col("tie").alias("hash")).distinct()
+    # the caller's row travels as one struct, so its column names may be any
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of("text")).alias("tie"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("hash")), "left_anti").select("row.*")
