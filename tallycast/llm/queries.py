@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallycast.llm import (
     alignment, chat, decontaminate, jaccard, language, mixing, passages, quality, rans, substrings, toxicity, urls, variants,
 )
-from tallycast.llm.common import read_table
+from tallycast.llm.common import materialise, read_table
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -42,9 +42,13 @@ def op2_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger, stored: policies and ablations read its bits, not the texts."""
+    return materialise(quality.ledger(quality.measure(read_table(spark, sf_dir, "documents"))), "ledger")
+
+
 def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = quality.ledger(quality.measure(read_table(spark, sf_dir, "documents")))
-    return led.select(
+    return _ledger(spark, sf_dir).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~quality.verdict(quality.mask_of(quality.POLICIES["base"]))).alias("base_failed"),
         quality.verdict(quality.mask_of(quality.POLICIES["v2"])).alias("kept"),
@@ -52,6 +56,10 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.ablations(_ledger(spark, sf_dir))
+
+
 def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -123,6 +131,7 @@ QUERIES = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_rans_tokens": op2_rans_tokens,
     "op3_quality_ledger": op3_quality_ledger,
+    "quality_ablations": quality_ablations,
     "op4_jaccard_components": op4_jaccard_components,
     "op5_repeated_passages": op5_repeated_passages,
     "op6_substring_dedup": op6_substring_dedup,
@@ -137,8 +146,7 @@ QUERIES = {
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
-ORACLE_SQL = {
-    "op3_quality_ledger": f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+_LEDGER = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{_WORD}') AS w,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l FROM d),
 g AS (SELECT doc_id, i, list_slice(w, i, i + 4) AS g
@@ -156,8 +164,17 @@ b AS (SELECT *, CAST((CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100
              + (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END) + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END)
              + (CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words) THEN 16 ELSE 0 END)
              + (CASE WHEN 2 * n_upper > word_chars THEN 32 ELSE 0 END) AS BIGINT) AS failed_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+"""
+
+ORACLE_SQL = {
+    "op3_quality_ledger": _LEDGER + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b""",
+    "quality_ablations": _LEDGER + """, p AS (
+  SELECT * FROM (VALUES ('base', 3), ('v1', 15), ('v2', 63)) AS v(policy, mask)),
+rr AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('duplicate_lines', 8), ('word_length', 16), ('capitals', 32)) AS v(rule, bit))
+SELECT policy, rule, count(*) FILTER (failed_bits & bit <> 0) AS n_failed,
+       count(*) FILTER (failed_bits & mask = bit) AS n_failed_only_here, count(*) FILTER (failed_bits & mask = 0) AS n_kept
+FROM b, p, rr WHERE bit & mask <> 0 GROUP BY 1, 2""",
     "op4_jaccard_components": f"""WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
   FROM documents),
