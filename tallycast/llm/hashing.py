@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
-
-from tallycast.llm.common import worker_state
+import xxhash
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -32,34 +29,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-_KEY = b"words of a text"  # fixed value
-_CACHED_WORDS = 200_000
-
-
-def _digests(words: list[bytes]) -> dict[bytes, int]:
-    """Digests of the words at least, from a cache that lives with the worker."""
-    known = worker_state().setdefault("words", {})
-    new = set(words).difference(known)
-    if len(known) + len(new) > _CACHED_WORDS:
-        known.clear()
-        new = set(words)
-    for w in new:
-        known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8, key=_KEY).digest(), "little")
-    return known
+_KEY = 0x7A11CA57  # fixed value
 
 
 def word_hashes(text: bytes, slice_bytes: int = 1 << 20) -> np.ndarray:
-    """A keyed 64-bit digest per word; long texts go slice by slice.
+    """A keyed 64-bit hash (XXH3) per word; long texts go slice by slice.
 
-    A digest, not a polynomial of the bytes: no two words are known that share one.
+    Not a polynomial of the bytes, whose collisions structured words share whatever the base.
     """
-    parts, at = [], 0
+    parts, at, digest = [], 0, xxhash.xxh3_64_intdigest
     while at < len(text):
         end = min(len(text), at + slice_bytes)
         while end < len(text) and not _SPACE[text[end]]:
             end += 1
         words = text[at:end].split()
-        parts.append(np.fromiter(map(_digests(words).__getitem__, words), np.uint64, count=len(words)))
+        parts.append(np.array([digest(w, _KEY) for w in words], dtype=np.uint64))
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
