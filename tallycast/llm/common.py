@@ -72,6 +72,10 @@ class Scratch:
         release_scratch(self.spark, before)
         return out
 
+    def drop(self, name: str) -> None:
+        """Delete what was stored under a name."""
+        release_scratch(self.spark, self.paths.pop(name, []))
+
     def release(self) -> None:
         for paths in self.paths.values():
             release_scratch(self.spark, paths)

@@ -23,7 +23,7 @@ left. So near copies cost a few comparisons per member, pairs of unlike sets nev
 them, and no pair that might link is left out. No cell is held in one task.
 
 Documents with equal sets are one node. Null and empty texts have no shingles and are linked
-with nothing. Repeated rows are equal sets. Words are hashed by a keyed digest and shingles and sets have
+with nothing. Repeated rows are equal sets. Words are hashed by XXH3 with a key, and words, shingles and sets have
 64 bits; equality is decided on them. Columns of the caller may have any names.
 """
 
@@ -47,7 +47,7 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 SKETCH_STEPS = (4096, 64, 1)  # partial sketches are added in groups of so many, then fewer
 SLICES = 4      # pairs fetch their sets in this many steps, so that a step's shuffle holds a part of them
-BITMAP = 1024   # bits
+BITMAP = 1024   # bits, at least; larger sets have a bit for every one or two shingles
 REGION = 512    # members of a cell that meet in one piece
 CLOSEST = 4     # pairs of two components of a region that are measured first
 BATCH_ROWS = 20_000
@@ -67,8 +67,9 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def parity(hashes: np.ndarray) -> bytes:
-    """The bitmap of a set: each shingle flips one bit."""
-    return np.packbits(np.bincount((hashes & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP).astype(np.uint8) & 1).tobytes()
+    """The bitmap of a set: each shingle flips one bit. Exclusive or of its halves gives the smaller bitmap."""
+    size = max(BITMAP, 1 << (max(1, len(hashes) // 2) - 1).bit_length())
+    return np.packbits(np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1).tobytes()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -225,8 +226,21 @@ def hamming(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
 
 
-def _bitmaps(raw) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), dtype=np.uint64).reshape(len(raw), BITMAP // 64)
+def _bitmaps(raw, size: int = BITMAP // 8) -> np.ndarray:
+    """Bitmaps of that many bytes, a row each; larger ones are folded."""
+    if all(len(r) == size for r in raw):
+        return np.frombuffer(b"".join(raw), dtype=np.uint64).reshape(len(raw), size // 8)
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(r, dtype=np.uint64).reshape(-1, size // 8), axis=0) for r in raw])
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hamming distance of pairs of bitmaps (object arrays of bytes), at the smaller size of the two."""
+    size = np.minimum(np.array([len(r) for r in x], np.int64), np.array([len(r) for r in y], np.int64))
+    out = np.zeros(len(x), np.int64)
+    for n in np.unique(size).tolist():
+        some = np.flatnonzero(size == n)
+        out[some] = hamming(_bitmaps(x[some], n), _bitmaps(y[some], n))
+    return out
 
 
 def allowed(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
@@ -235,7 +249,7 @@ def allowed(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n1, n2 = pdf["n1"].to_numpy(np.int64), pdf["n2"].to_numpy(np.int64)
-            near = hamming(_bitmaps(pdf["x"]), _bitmaps(pdf["y"])) <= differs(n1, n2, percent)
+            near = apart(pdf["x"].to_numpy(), pdf["y"].to_numpy()) <= differs(n1, n2, percent)
             yield pdf.loc[near, ["a", "b"]]
 
     x = bits.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n").alias("n1"))
@@ -285,7 +299,9 @@ def link(docs: DataFrame, known: DataFrame, levels: np.ndarray, size: int = SHIN
     components in the cells that hold several; they end when no region left a pair out.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.store(members(cells(docs, levels, size, percent)), "cells")
+    # members reads them twice
+    rows = scratch.store(members(scratch.store(cells(docs, levels, size, percent), "all-cells")), "cells")
+    scratch.drop("all-cells")
     bits = scratch.store(
         known.filter("node <> 0").groupBy("node").agg(F.first("bits").alias("bits"), F.first("n_shingles").cast("int").alias("n")), "bits"
     )
@@ -316,14 +332,20 @@ def link(docs: DataFrame, known: DataFrame, levels: np.ndarray, size: int = SHIN
 
 
 def _unsettled(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """The rows, with their components, of cells that hold several components."""
+    """The rows, with their components, of cells that hold several components, once for cells with the same members."""
     roots = parts.select(F.col("node").alias("x"), F.col("root").alias("y"))
     rows = (
         rows.drop("r").join(roots, F.col("m.node") == F.col("x"), "left")
         .select("cell", "k", "m", "p", F.coalesce("y", "m.node").alias("r"))
     )
-    several = rows.groupBy("cell").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
-    return rows.join(several.filter("lo <> hi").select("cell"), "cell", "left_semi")
+    node = F.col("m.node")
+    several = rows.groupBy("cell").agg(
+        F.min("r").alias("lo"), F.max("r").alias("hi"), F.sum("m.pos").alias("places"),
+        F.struct(F.count(F.lit(1)), F.min(node), F.max(node), F.bit_xor(F.xxhash64(node)), F.bit_xor(F.xxhash64(node, F.lit(1)))).alias("held"),
+    ).filter("lo <> hi")
+    # of cells with the same members the first in the order of shingles has their pairs at the least places
+    first = several.groupBy("held").agg(F.min(F.struct("places", "cell")).alias("first")).select("first.cell")
+    return rows.join(first, "cell", "left_semi")
 
 
 def _meet(rows: DataFrame, bits: DataFrame, closest: int, percent: int) -> DataFrame:
@@ -373,7 +395,9 @@ def _meet(rows: DataFrame, bits: DataFrame, closest: int, percent: int) -> DataF
 def _region_pairs(rows: pd.DataFrame, closest: int, percent: int) -> pd.DataFrame:
     """The pairs of ``_meet`` among whole regions, in numpy; rows are sorted by region."""
     region, node, n, pos, r = (rows[c].to_numpy(np.int64) for c in ("region", "node", "n", "pos", "r"))
-    bits = _bitmaps(rows["bits"])
+    whole = rows["bits"].to_numpy()
+    bits = _bitmaps(whole) if len(whole) else np.zeros((0, BITMAP // 64), np.uint64)
+    large_set = np.array([len(r) > BITMAP // 8 for r in whole], bool)
     edges = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
     of_region = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     found = [np.zeros((5, 0), np.int64)]
@@ -388,6 +412,10 @@ def _region_pairs(rows: pd.DataFrame, closest: int, percent: int) -> pd.DataFram
         far = hamming(bits[x], bits[y])
         ok = far <= differs(n[x], n[y], percent)
         x, y, far = x[ok], y[ok], far[ok]
+        both = np.flatnonzero(large_set[x] & large_set[y])
+        far[both] = apart(whole[x[both]], whole[y[both]])
+        ok = far <= differs(n[x], n[y], percent)
+        x, y, far = x[ok], y[ok], far[ok]
         found.append(np.stack([of_region[x], np.minimum(r[x], r[y]), np.maximum(r[x], r[y]), far, x * len(rows) + y]))
         if sum(f.shape[1] for f in found) > 4 * BATCH_ROWS:
             found = [_nearest(np.concatenate(found, axis=1), closest + 1)]  # one more, to tell that there is more
