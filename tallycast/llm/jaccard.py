@@ -308,7 +308,8 @@ def link(docs: DataFrame, known: DataFrame, levels: np.ndarray, size: int = SHIN
     linked = 100 * F.col("inter") >= percent * F.col("total")
     wanted, measured, parts, closest, left = _pairs(rows, "m", "p", percent), None, None, CLOSEST, True
     while True:
-        pairs = scratch.replace(allowed(wanted, bits, percent), "pairs")
+        # regions have compared the bitmaps of their pairs
+        pairs = scratch.replace(allowed(wanted, bits, percent) if measured is None else wanted, "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = scratch.replace(sets_of(docs, known, ends, size), "sets")
         now = measure(pairs, sets, scratch)
