@@ -48,7 +48,7 @@ SKETCH_PARTS = 64
 SKETCH_STEPS = (4096, 64, 1)  # partial sketches are added in groups of so many, then fewer
 SLICES = 4      # pairs fetch their sets in this many steps, so that a step's shuffle holds a part of them
 BITMAP = 1024   # bits, at least; larger sets have a bit for every one or two shingles
-REGION = 512    # members of a cell that meet in one piece
+REGION = 2048   # members of a cell that meet in one piece
 CLOSEST = 4     # pairs of two components of a region that are measured first
 BATCH_ROWS = 20_000
 
