@@ -47,6 +47,7 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 SKETCH_STEPS = (4096, 64, 1)  # partial sketches are added in groups of so many, then fewer
 SLICES = 4      # pairs fetch their sets in this many steps, so that a step's shuffle holds a part of them
+FILTER_BITS = 1 << 26  # wanted texts are found through a bitmap of 8 MB before they are shuffled
 BITMAP = 1024   # bits, at least; larger sets have a bit for every one or two shingles
 REGION = 2048   # members of a cell that meet in one piece
 CLOSEST = 4     # pairs of two components of a region that are measured first
@@ -197,16 +198,35 @@ def members(cell_rows: DataFrame) -> DataFrame:
     return rows.join(pivots.drop("q"), "cell").distinct()
 
 
-def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
+def _probed(texts: DataFrame, one: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose (doc_id, tie) sets a bit that a (d, z) of ``one`` sets too.
+
+    A bitmap of FILTER_BITS, so its broadcast has a fixed size; with more than that many wanted rows it
+    lets most through. The join that follows is exact.
+    """
+    def place(*key: str) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS)) + 1
+
+    held = one.select(place("d", "z").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("held")
+    )
+    probe = texts.withColumn("at", place("doc_id", "tie")).withColumn("bucket", F.bitmap_bucket_number("at"))
+    probe = probe.withColumn("at", F.bitmap_bit_position("at").cast("int"))
+    byte = F.conv(F.hex(F.substring("held", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return probe.join(F.broadcast(held), "bucket").filter(F.getbit(byte, F.col("at") % 8) == 1).select(*texts.columns)
+
+
+def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, scratch: Scratch, size: int = SHINGLE) -> DataFrame:
     """(node, hashes) of the wanted nodes, from one document each, found by its id and text hash."""
-    one = (
+    one = scratch.replace(
         known.join(wanted, "node", "left_semi")
         .groupBy("node")
         .agg(F.min(F.struct("doc_id", "tie")).alias("one"))
-        .select(F.col("one.doc_id").alias("d"), F.col("one.tie").alias("z"), "node")
+        .select(F.col("one.doc_id").alias("d"), F.col("one.tie").alias("z"), "node"),
+        "one",
     )
     met = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("z"))
-    texts = _texts(docs).join(one, met).select("node", "text")
+    texts = _probed(_texts(docs), one).join(one, met).select("node", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -311,7 +331,7 @@ def link(docs: DataFrame, known: DataFrame, levels: np.ndarray, size: int = SHIN
         # regions have compared the bitmaps of their pairs
         pairs = scratch.replace(allowed(wanted, bits, percent) if measured is None else wanted, "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = scratch.replace(sets_of(docs, known, ends, size), "sets")
+        sets = scratch.replace(sets_of(docs, known, ends, scratch, size), "sets")
         now = measure(pairs, sets, scratch)
         measured = now.select("a", "b") if measured is None else measured.unionByName(now.select("a", "b"))
         fresh = now.filter(linked).select("a", "b")

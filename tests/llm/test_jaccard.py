@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallycast.llm import hashing, jaccard
+from tallycast.llm.common import Scratch
 
 CLASHES = ["_tie", "_k", "_nth", "_all", "_bad", "_pass", "_n", "_d", "_s", "_t", "k", "tie", "row", "nth", "whole", "node", "part"]
 
@@ -103,7 +104,7 @@ def test_many_rows_under_one_id_fetch_one_text_per_set(spark, documents):
     texts = [f"w{i} x{i} y{i} z{i}" for i in range(60)]
     docs = documents(texts, [5] * 60)
     known = jaccard.nodes(docs).filter("part IS NULL").drop("part", "counts").cache()
-    assert jaccard.sets_of(docs, known, known.select("node")).count() == 60
+    assert jaccard.sets_of(docs, known, known.select("node"), Scratch(spark)).count() == 60
     assert result(jaccard.components(docs)) == [(5, 1, 5)] * 60
 
 
@@ -117,3 +118,13 @@ def test_bitmaps_never_exceed_the_difference():
         y = np.unique(np.concatenate([both, rnd.integers(0, 2**63, rnd.integers(0, 200)).astype(np.uint64)]))
         bits = jaccard._bitmaps([jaccard.parity(x), jaccard.parity(y)])
         assert jaccard.hamming(bits[0], bits[1]) <= len(np.setxor1d(x, y))
+
+
+def test_bitmap_lets_all_wanted_texts_through(spark):
+    texts = spark.range(3_000).selectExpr("if(id % 100 = 7, null, id) AS doc_id", "concat('t', id % 2000) AS text")
+    texts = jaccard._texts(texts)
+    one = texts.filter("doc_id IS NULL OR doc_id % 20 = 0").selectExpr("doc_id AS d", "tie AS z", "1L AS node")
+    passed = jaccard._probed(texts, one)
+    assert passed.filter("doc_id IS NULL OR doc_id % 20 = 0").count() == one.count()
+    assert passed.count() <= one.count() + 30
+    assert jaccard._probed(texts, one.limit(0)).count() == 0
