@@ -143,3 +143,21 @@ def test_repeated_and_long_benchmark_items(spark, documents, monkeypatch):
     whole = [r for r in got if r.doc_id == 2]
     assert [(r.item_id, r.edits, r.start, r.end) for r in whole] == [(900, 0, 0, len(long))] * 2
     assert whole[0].segments == len(starts(long))
+
+
+def test_passages_do_not_depend_on_where_a_group_is_solved(documents, monkeypatch):
+    """Groups over HOT_RUNS, in pieces, give the rows that small ones give."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for k in range(3):
+        base = rng.integers(0, 1 << 40, 90).astype(str).tolist()
+        kinds = [base, [*base[:45], "changed", *base[46:]], [*base[:20], "put", *base[21:]], [*base[:60], *base[60:64], *base[40:66]]]
+        for copies, p in zip((2, 2, 1, 1), kinds, strict=True):
+            for _ in range(copies):
+                texts.append(" ".join([*rng.integers(0, 1 << 40, 30).astype(str), *p, *rng.integers(0, 1 << 40, 30).astype(str)]))
+    docs = documents(texts, ids=list(rng.permutation(len(texts)).tolist()))
+    small = sorted(map(tuple, passages.passages(docs).collect()))
+    monkeypatch.setattr(passages, "HOT_RUNS", 1)
+    monkeypatch.setattr(passages, "PIECE", 2, raising=False)
+    hot = sorted(map(tuple, passages.passages(docs).collect()))
+    assert hot == small and len({r[0] for r in small}) > 10
