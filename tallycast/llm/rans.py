@@ -26,7 +26,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -61,6 +61,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in printable else 256 + others.index(b)) for b in range(256)}
 
 
+class _Pieces(dict):
+    """The packed ids of pieces; one that is not held yet is encoded, so that a text looks each of its pieces up once."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        raw = self[piece] = self.encode(piece)
+        return raw
+
+
 class PieceEncoder:
     """Whole-text ids from the tokenizers library; its model encodes each distinct piece once.
 
@@ -80,8 +91,7 @@ class PieceEncoder:
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
         self.code, self.dtype = ("H", np.uint16) if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", np.uint32)
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache, self.old = _Pieces(self._piece), {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
@@ -96,17 +106,14 @@ class PieceEncoder:
         if not self.pieces or _OTHER.search(text) or self.special.search(text):
             return self.whole(text)
         if len(self.cache) > CACHE_PIECES:
-            self.old, self.cache = self.cache, {}
-        pieces, known = _PIECE.findall(text), self.cache
-        for p in set(pieces).difference(known):
-            known[p] = self._piece(p)
-        raw = b"".join(map(known.__getitem__, pieces))
+            self.old, self.cache = self.cache, _Pieces(self._piece)
+        raw = b"".join(map(self.cache.__getitem__, _PIECE.findall(text)))
         return np.frombuffer(raw, dtype=self.dtype).astype(np.uint32)
 
 
 def _encoder(path: str) -> PieceEncoder:
     """One encoder per Python worker, so that its pieces serve every task the worker runs."""
-    encoders = worker_state().setdefault("rans", {})
+    encoders = worker_state("rans")
     if path not in encoders:
         encoders[path] = PieceEncoder(path)
     return encoders[path]

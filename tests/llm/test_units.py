@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tallycast.llm import chat, decontaminate, hashing, mixing, passages, rans, substrings, toxicity
+from tallycast.llm.queries import tokenizer_path
 from tallycast.llm.suffixes import suffix_array
 
 
@@ -129,3 +130,14 @@ def test_toxicity_learns_a_word_and_its_misspelling():
     assert scorer.score(text(["zqwormish"])) > 0.5 and scorer.score(text(["zqwormixh"])) > scorer.score(text([]))
     assert 0 <= scorer.score("") < 0.5
     assert toxicity.Scorer(toxicity.train([], np.zeros(0, int), np.zeros(0))).score("x") == 0.0
+
+
+def test_pieces_are_looked_up_once_and_encoded_where_missing(monkeypatch):
+    monkeypatch.setattr(rans, "CACHE_PIECES", 3)
+    enc = rans.PieceEncoder(tokenizer_path())
+    assert enc.cache[" abc"] == enc._piece(" abc") and list(enc.cache) == [" abc"]
+    encoded = []
+    monkeypatch.setattr(enc, "model", type("Model", (), {"tokenize": lambda _, w, t=enc.model.tokenize: encoded.append(w) or t(w)})())
+    for text in ("ab cd ef ab cd ef gh", "ab cd", "ab xy", "cd ef xy"):
+        assert enc.encode(text).tolist() == enc.whole(text).tolist()
+    assert len(encoded) == len(set(encoded))
