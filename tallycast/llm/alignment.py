@@ -113,7 +113,7 @@ class PieceSide:
 def sides(path_a: str, path_b: str) -> tuple[ByteSide, PieceSide]:
     """Both tokenizers, once per Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    loaded = worker_state().setdefault("alignment", {})
+    loaded = worker_state("alignment").setdefault("sides", {})
     if (path_a, path_b) not in loaded:
         loaded[path_a, path_b] = ByteSide(path_a), PieceSide(path_b)
     return loaded[path_a, path_b]
@@ -229,12 +229,11 @@ class Renderer:
 
 def _forget() -> None:
     """Free the tokenizers of a worker whose later tasks need none."""
-    for name in ("alignment", "alignment_text"):
-        worker_state().pop(name, None)
+    worker_state("alignment").clear()
 
 
 def _renderer(a: ByteSide, b: PieceSide) -> Renderer:
-    held = worker_state().setdefault("alignment_text", {})
+    held = worker_state("alignment").setdefault("texts", {})
     if (a.size, b.size) not in held:
         held[a.size, b.size] = Renderer(a.size, b.size)
     return held[a.size, b.size]

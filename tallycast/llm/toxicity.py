@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import text_of
+from tallycast.llm.common import text_of, worker_state
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -256,6 +256,7 @@ def score_column(spark: SparkSession, model: Model) -> Callable[[Column], Column
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_state("toxicity")  # the tokenizer of an earlier run's output goes
         scorer = Scorer(Model(*shared.value))
         for texts in batches:
             yield texts.map(scorer.score).astype(float)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tallycast.llm import chat, decontaminate, hashing, mixing, passages, rans, substrings, toxicity
+from tallycast.llm import chat, common, decontaminate, hashing, mixing, passages, rans, substrings, toxicity
 from tallycast.llm.queries import tokenizer_path
 from tallycast.llm.suffixes import suffix_array
 
@@ -132,6 +132,12 @@ def test_toxicity_learns_a_word_and_its_misspelling():
     assert toxicity.Scorer(toxicity.train([], np.zeros(0, int), np.zeros(0))).score("x") == 0.0
 
 
+def test_a_worker_holds_the_caches_of_one_operator():
+    common.worker_state("a")["x"] = 1
+    assert common.worker_state("a") == {"x": 1}
+    assert common.worker_state("b") == {} == common.worker_state("a")
+
+
 def test_pieces_are_looked_up_once_and_encoded_where_missing(monkeypatch):
     monkeypatch.setattr(rans, "CACHE_PIECES", 3)
     enc = rans.PieceEncoder(tokenizer_path())
