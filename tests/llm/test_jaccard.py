@@ -128,3 +128,65 @@ def test_bitmap_lets_all_wanted_texts_through(spark):
     assert passed.filter("doc_id IS NULL OR doc_id % 20 = 0").count() == one.count()
     assert passed.count() <= one.count() + 30
     assert jaccard._probed(texts, one.limit(0)).count() == 0
+
+
+def near_copies(n=300, words=200):
+    """Copies of one text with a few words of their own: each two differ, most of them link."""
+    rnd = random.Random(7)
+    base = [f"w{i}" for i in range(words)]
+    texts = []
+    for i in range(n):
+        w = list(base)
+        for j in range(rnd.randrange(3)):
+            w[rnd.randrange(words)] = f"own{i}x{j}"
+        texts.append(" ".join([*w, f"last{i}"]))
+    return texts
+
+
+def test_pairs_of_a_region_follow_its_members_not_their_square():
+    import numpy as np
+    import pandas as pd
+
+    sets = [jaccard.shingle_set(t, 4) for t in near_copies()]
+    rows = pd.DataFrame(
+        {
+            "region": 5, "node": [jaccard.node_of(s) for s in sets], "n": [len(s) for s in sets], "pos": 0,
+            "r": np.arange(len(sets)), "bits": [jaccard.parity(s) for s in sets],
+        }
+    )
+    found = jaccard._region_pairs(rows, 4, 85)
+    pairs = found[~found["more"]]
+    assert found["more"].any()
+    assert len(rows) - 1 <= len(pairs) <= 4 * (len(rows) - 1)
+    # they connect all members, and without a bound none is left out
+    root = {x: x for x in rows["node"]}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs[["a", "b"]].itertuples(index=False):
+        root[find(a)] = find(b)
+    assert len({find(x) for x in rows["node"]}) == 1
+    assert not jaccard._region_pairs(rows, 4096, 85)["more"].any()
+
+
+def test_forests_take_the_closest_pairs_and_leave_none_out():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    x, y = np.triu_indices(30, 1)
+    found = np.stack([x * 0 + 9, x, y, rnd.integers(0, 9, len(x)), np.arange(len(x))])
+    one = jaccard._forests(found, 1)
+    assert one.shape[1] == 29
+    # Kruskal
+    root, least = list(range(30)), 0
+    for i in np.lexsort((found[4], found[3])):
+        a, b = root[x[i]], root[y[i]]
+        if a != b:
+            root = [b if r == a else r for r in root]
+            least += found[3, i]
+    assert one[3].sum() == least
+    assert jaccard._forests(found, 30).shape[1] == len(x)
+    assert jaccard._forests(found[:, :0], 3).shape == (5, 0)
