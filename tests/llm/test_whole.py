@@ -161,3 +161,30 @@ def test_passages_do_not_depend_on_where_a_group_is_solved(documents, monkeypatc
     monkeypatch.setattr(passages, "PIECE", 2, raising=False)
     hot = sorted(map(tuple, passages.passages(docs).collect()))
     assert hot == small and len({r[0] for r in small}) > 10
+
+
+def test_large_groups_with_repeated_shingles_are_compared_by_matrices(monkeypatch):
+    """Frames of few different shingles, as brute force pairs them, in a number of pair comparisons that does not grow with the pairs."""
+    rng = np.random.default_rng(5)
+    n, w, frames = 90, passages.WIDTH, passages.FRAME
+    frame = np.stack([np.resize(rng.integers(0, 9, rng.integers(2, 8)), frames) for _ in range(n)]).astype(np.uint32)
+    frame[::3, 70:] = rng.integers(100, 100_000, (len(frame[::3]), frames - 70))
+    begin = rng.integers(0, w - 8, n)
+    f = np.arange(w)
+    own = (f >= begin[:, None]) & (f < begin[:, None] + 8)
+    zeros, number = np.zeros(n, np.int64), np.arange(n)
+    plain, compared = passages._near_sets, []
+    monkeypatch.setattr(passages, "_near_sets", lambda x, *more: compared.append(len(x)) or plain(x, *more))
+    x, y, k = passages._near_pairs(zeros, zeros, number, number, number, frame, own)
+    assert sum(compared) < n  # all of the n * (n - 1) / 2 pairs before
+    sets = [[set(r[i : i + w].tolist()) for i in f] for r in frame]
+    a, b, g = [], [], []
+    for i in range(n):
+        for j in range(i):
+            for at in np.flatnonzero(own[i] & own[j]):
+                p, q = sets[i][at], sets[j][at]
+                if 100 * len(p & q) >= 80 * len(p | q):
+                    a, b, g = [*a, i], [*b, j], [*g, at]
+    a, b, g = (np.array(v, np.int64) for v in (a, b, g))
+    want = passages._roots(a * w + g, b * w + g, n * w)
+    assert (passages._roots(x * w + k, y * w + k, n * w) == want).all() and 20 < len(np.unique(want[own.ravel()])) < own.sum()
