@@ -27,6 +27,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -83,11 +84,13 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        kind = json.loads(self.tokenizer.to_str())
-        pre = kind["pre_tokenizer"] or {}
+        t = self.tokenizer
+        # only the parts wanted: the whole as JSON would hold the vocabulary several times over
+        pre = json.loads(t.pre_tokenizer.__getstate__()) if t.pre_tokenizer else {}
         byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-        self.pieces = pieces and bool(byte_level) and not kind["normalizer"] and not kind["post_processor"]
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in kind["added_tokens"]) or r"(?!)")
+        self.pieces = pieces and bool(byte_level) and not t.normalizer and not t.post_processor
+        added = [token.content for _, token in sorted(t.get_added_tokens_decoder().items())]
+        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
         self.code, self.dtype = ("H", np.uint16) if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", np.uint32)
@@ -103,12 +106,17 @@ class PieceEncoder:
         return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
+        return self.ids(text).astype(np.uint32, copy=False)
+
+    def ids(self, text: str) -> np.ndarray:
+        """The ids, as uint16 where the vocabulary allows it and the text goes by pieces, else as uint32."""
         if not self.pieces or _OTHER.search(text) or self.special.search(text):
             return self.whole(text)
         if len(self.cache) > CACHE_PIECES:
             self.old, self.cache = self.cache, _Pieces(self._piece)
-        raw = b"".join(map(self.cache.__getitem__, _PIECE.findall(text)))
-        return np.frombuffer(raw, dtype=self.dtype).astype(np.uint32)
+        found = _PIECE.findall(text)
+        raw = b"".join(itemgetter(*found)(self.cache)) if len(found) > 1 else b"".join(self.cache[p] for p in found)
+        return np.frombuffer(raw, dtype=self.dtype)
 
 
 def _encoder(path: str) -> PieceEncoder:
@@ -139,7 +147,7 @@ def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         total = np.zeros(1, dtype=np.int64)
         for pdf in batches:
             for part in _batches_of(pdf):
-                ids = [np.append(e, np.uint32(end_id)) for e in map(encoder.encode, part["text"])]
+                ids = [_ended(e, end_id) for e in map(encoder.ids, part["text"])]
                 c = np.bincount(np.concatenate(ids))
                 total = np.pad(total, (0, max(0, len(c) - len(total))))
                 total[: len(c)] += c
@@ -160,9 +168,13 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
     return _tokens(docs, tokenizer_path, end_id).filter("counts IS NULL").drop("counts")
 
 
+def _ended(ids: np.ndarray, end_id: int) -> np.ndarray:
+    return np.append(ids, ids.dtype.type(end_id) if end_id <= np.iinfo(ids.dtype).max else np.uint32(end_id))
+
+
 def _pack(ids: np.ndarray) -> bytes:
     """uint16 where every id fits, marked by an odd last byte."""
-    if len(ids) == 0 or int(ids.max()) < 1 << 16:
+    if len(ids) == 0 or ids.dtype == np.uint16 or int(ids.max()) < 1 << 16:
         return ids.astype("<u2").tobytes() + b"\x01"
     return ids.astype("<u4").tobytes() + b"\x02"
 
@@ -211,13 +223,14 @@ def scale_counts(counts: np.ndarray, scale_bits: int = SCALE_BITS) -> np.ndarray
 
 
 class Coder:
-    """Interleaved rANS over a shared table."""
+    """Interleaved rANS over a shared table; ``step`` is what a state grows by for each time the frequency goes into it."""
 
     def __init__(self, tokens: np.ndarray, freq: np.ndarray, scale_bits: int = SCALE_BITS):
         self.bits = np.uint64(scale_bits)
         size = int(tokens.max()) + 1 if len(tokens) else 1
         self.freq = np.zeros(size, dtype=np.uint64)
         self.freq[tokens] = freq
+        self.step = (np.uint64(1) << self.bits) - self.freq
         self.cum = np.zeros(size, dtype=np.uint64)
         self.cum[tokens] = np.cumsum(freq) - freq
         self.slot = np.zeros(1 << scale_bits, dtype=np.uint32)
@@ -238,8 +251,11 @@ class Coder:
                 emitted.append(y[over].astype(np.uint32))
                 total += len(emitted[-1])
                 y[over] >>= np.uint64(32)
-            q, r = np.divmod(y, f)
-            x[:k] = (q << self.bits) + r + self.cum[s]
+            # (y // f << bits) + y % f + cum
+            q = y // f
+            q *= self.step[s]
+            y += q
+            y += self.cum[s]
             if row % CHECKPOINT_ROWS == 0 and row:
                 marks.append(total)
                 snaps.append(x.copy())
@@ -285,7 +301,7 @@ BLOCKS = (
 
 
 def _crc(ids: np.ndarray, crc: int = 0) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes(), crc)
+    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"), crc)
 
 
 def _table_arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 """Pure pieces against brute force."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -147,3 +148,14 @@ def test_pieces_are_looked_up_once_and_encoded_where_missing(monkeypatch):
     for text in ("ab cd ef ab cd ef gh", "ab cd", "ab xy", "cd ef xy"):
         assert enc.encode(text).tolist() == enc.whole(text).tolist()
     assert len(encoded) == len(set(encoded))
+
+
+def test_ids_stay_in_two_bytes_from_the_pieces_to_the_file():
+    enc = rans.PieceEncoder(tokenizer_path())
+    ids = enc.ids("two words, 3 numbers\n")
+    assert ids.dtype == np.uint16 and ids.tolist() == enc.whole("two words, 3 numbers\n").tolist()
+    for said in (ids, enc.ids(""), enc.ids("中文")):
+        for end in (rans.END_ID, 1 << 17):
+            ended = rans._ended(said, end)
+            assert ended.tolist() == [*said.tolist(), end] == rans._unpack(rans._pack(ended)).tolist()
+            assert rans._crc(ended) == zlib.crc32(np.array(ended, "<u4").tobytes())
