@@ -21,7 +21,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tallycast.llm import decontaminate, jaccard, mixing, rans, toxicity  # noqa: E402
 from tallycast.llm.common import read_table  # noqa: E402
 from tallycast.llm.queries import tokenizer_path  # noqa: E402
-from tallycast.session import scratch_path  # noqa: E402
+from tallycast.session import arrow_rows, scratch_path  # noqa: E402
+
+BATCH_ROWS = 2_000  # of whole texts, handed to a Python worker at a time
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +66,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        rows = stage(spark, docs, sf_dir)
-        path = scratch_path(spark, f"pipeline-{name}")
-        rows.write.parquet(path)
-        docs = spark.read.schema(rows.schema).parquet(path)
+    with arrow_rows(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            rows = stage(spark, docs, sf_dir)
+            path = scratch_path(spark, f"pipeline-{name}")
+            rows.write.parquet(path)
+            docs = spark.read.schema(rows.schema).parquet(path)
     return docs

@@ -3,9 +3,11 @@
 import re
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallycast.llm import decontaminate, mixing, rans, toxicity
 from tallycast.llm.queries import tokenizer_path
 
@@ -101,3 +103,21 @@ def test_token_counts_from_the_coding_pass(spark, documents):
     assert from_counts == from_ids and from_ids
     rows = rans.encode_documents(docs, tokenizer_path()).collect()
     assert sorted(r.n_tokens for r in rows)[0] == 1 and [r.start for r in rows if r.doc_id is None] == [0]
+
+
+def test_the_pipeline_hands_texts_over_in_small_batches(spark, tmp_path, documents, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, sizes = spark.conf.get(key), "n long"
+    documents(["word"] * 5_000, list(range(5_000))).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def batches(spark, docs, sf_dir):
+        return docs.coalesce(1).mapInPandas(lambda pdfs: (pd.DataFrame({"n": [len(p)]}) for p in pdfs), sizes)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("batches", batches)])
+    got = [r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sum(got) == 5_000 and max(got) <= 2_000 and spark.conf.get(key) == before
+    spark.conf.set(key, "700")  # the caller's own stands
+    try:
+        assert max(r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) <= 700 and spark.conf.get(key) == "700"
+    finally:
+        spark.conf.set(key, before)
