@@ -53,6 +53,8 @@ _PIECE = re.compile(
     rf" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^ \t-\r{_LETTER}0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"
 )
 _OTHER = re.compile("[^\x00-\x1b\x20-\x7e\u00c0-\u024f]")
+_ASCII_PIECE = re.compile(_PIECE.pattern.replace(_LETTER, "A-Za-z"))  # the same pieces of an ASCII text
+_ASCII_OTHER = "\x1c\x1d\x1e\x1f\x7f"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -102,7 +104,10 @@ class PieceEncoder:
     def _piece(self, piece: str) -> bytes:
         if piece in self.old:
             return self.old[piece]
-        written = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():  # its bytes but the space are their own letters
+            written = piece.replace(" ", self.letters[0x20])
+        else:
+            written = piece.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
@@ -110,11 +115,13 @@ class PieceEncoder:
 
     def ids(self, text: str) -> np.ndarray:
         """The ids, as uint16 where the vocabulary allows it and the text goes by pieces, else as uint32."""
-        if not self.pieces or _OTHER.search(text) or self.special.search(text):
+        plain = text.isascii()
+        other = any(map(text.__contains__, _ASCII_OTHER)) if plain else _OTHER.search(text)
+        if not self.pieces or other or self.special.search(text):
             return self.whole(text)
         if len(self.cache) > CACHE_PIECES:
             self.old, self.cache = self.cache, _Pieces(self._piece)
-        found = _PIECE.findall(text)
+        found = (_ASCII_PIECE if plain else _PIECE).findall(text)
         raw = b"".join(itemgetter(*found)(self.cache)) if len(found) > 1 else b"".join(self.cache[p] for p in found)
         return np.frombuffer(raw, dtype=self.dtype)
 
@@ -233,7 +240,7 @@ class Coder:
         self.step = (np.uint64(1) << self.bits) - self.freq
         self.cum = np.zeros(size, dtype=np.uint64)
         self.cum[tokens] = np.cumsum(freq) - freq
-        self.slot = np.zeros(1 << scale_bits, dtype=np.uint32)
+        self.slot = np.zeros(1 << scale_bits, dtype=np.intp)
         self.slot[: int(freq.sum())] = np.repeat(tokens, freq)
         self.limit = np.uint64((1 << 32) >> scale_bits << 32)
 
@@ -242,20 +249,22 @@ class Coder:
         n_rows = -(-len(ids) // LANES)
         x = np.full(LANES, LOW, dtype=np.uint64)
         emitted, marks, snaps, total = [], [], [], 0
+        at = ids.astype(np.intp, copy=False)  # what take wants
         for row in range(n_rows - 1, -1, -1):
-            s = ids[row * LANES : (row + 1) * LANES]
+            s = at[row * LANES : (row + 1) * LANES]
             k = len(s)
-            f, y = self.freq[s], x[:k]
-            over = y >= self.limit * f
-            if over.any():
-                emitted.append(y[over].astype(np.uint32))
-                total += len(emitted[-1])
-                y[over] >>= np.uint64(32)
+            f, y = self.freq.take(s), x[:k]
+            over = np.flatnonzero(y >= self.limit * f)
+            if len(over):
+                high = y.take(over)
+                emitted.append(high.astype(np.uint32))
+                total += len(over)
+                y[over] = high >> np.uint64(32)
             # (y // f << bits) + y % f + cum
             q = y // f
-            q *= self.step[s]
+            q *= self.step.take(s)
             y += q
-            y += self.cum[s]
+            y += self.cum.take(s)
             if row % CHECKPOINT_ROWS == 0 and row:
                 marks.append(total)
                 snaps.append(x.copy())
@@ -275,15 +284,17 @@ class Coder:
             k = min(LANES, n_tokens - r * LANES)
             y = x[:k]
             low = y & mask
-            s = self.slot[low]
+            s = self.slot.take(low.view(np.int64))
             out[(r - row) * LANES : (r - row) * LANES + k] = s
-            y = self.freq[s] * (y >> self.bits) + low - self.cum[s]
-            under = y < LOW
-            m = int(under.sum())
-            if m:
-                y[under] = (y[under] << np.uint64(32)) | words[at : at + m]
+            # freq * (y >> bits) + low - cum
+            y >>= self.bits
+            y *= self.freq.take(s)
+            y += low
+            y -= self.cum.take(s)
+            under = np.flatnonzero(y < LOW)
+            if m := len(under):
+                y[under] = (y.take(under) << np.uint64(32)) | words[at : at + m]
                 at += m
-            x[:k] = y
         return out
 
     def decode_from_checkpoints(self, n_tokens: int, states, words, word_counts, snaps) -> np.ndarray:

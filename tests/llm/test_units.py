@@ -139,6 +139,15 @@ def test_a_worker_holds_the_caches_of_one_operator():
     assert common.worker_state("b") == {} == common.worker_state("a")
 
 
+def test_coder_looks_states_up_by_plain_indices():
+    coder = rans.Coder(np.array([3, 5]), np.array([7, 9]))
+    assert coder.slot.dtype == np.intp  # take converts others anew in every row
+    ids = np.array([3, 5, 5] * 3000, dtype=np.uint32)
+    states, words, marks, snaps = coder.encode(ids)
+    got = coder.decode_from_checkpoints(len(ids), states, words, marks, snaps)
+    assert got.dtype == np.uint32 and got.tolist() == ids.tolist()
+
+
 def test_pieces_are_looked_up_once_and_encoded_where_missing(monkeypatch):
     monkeypatch.setattr(rans, "CACHE_PIECES", 3)
     enc = rans.PieceEncoder(tokenizer_path())
