@@ -24,6 +24,7 @@ from tallycast.llm.queries import tokenizer_path  # noqa: E402
 from tallycast.session import arrow_rows, scratch_path  # noqa: E402
 
 BATCH_ROWS = 2_000  # of whole texts, handed to a Python worker at a time
+CACHE_PIECES = 100_000  # of the tokenizer: the executors' memory holds what earlier stages made them take
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return rans.encode_documents(docs, tokenizer_path())
+    return rans.encode_documents(docs, tokenizer_path(), CACHE_PIECES)
 
 
 STAGES = [

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import materialise, text_of
+from tallycast.llm.common import lean, materialise, text_of
 
 Q = 8
 SEGMENT = 64
@@ -229,7 +229,7 @@ def distinct_pieces(items: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"key": key, "piece": range(len(parts)), "text": parts, "chars": [len(x) for x in parts]})
 
     texts = items.groupBy("key").agg(F.first("t").alias("t"))
-    return materialise(texts.mapInPandas(cut, "key long, piece int, text string, chars long"), "benchmark-pieces")
+    return materialise(texts.mapInPandas(lean(cut), "key long, piece int, text string, chars long"), "benchmark-pieces")
 
 
 def blocks(parts: DataFrame) -> Iterator[list[tuple[tuple[int, int], str]]]:
@@ -253,7 +253,7 @@ def _found_in(docs: DataFrame, parts: DataFrame) -> DataFrame:
     text = text_of("text")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     schema = "tie long, doc_id long, key long, piece int, edits int, length int, segments int, start long, end long"
-    out = spark.createDataFrame([], schema)
+    out = None
     several = (parts.agg(F.sum("chars")).first()[0] or 0) > BLOCK_CHARS
     for block in blocks(parts):
         shared = spark.sparkContext.broadcast(block)
@@ -268,12 +268,12 @@ def _found_in(docs: DataFrame, parts: DataFrame) -> DataFrame:
                     columns = ["tie", "doc_id", "key", "piece", "edits", "length", "segments", "start", "end"]
                     yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
-        found = texts.mapInPandas(run, schema)
+        found = texts.mapInPandas(lean(run), schema)
         if several:  # a block is done with before the next is sent
             found = materialise(found, "found-in-block")
             shared.unpersist()
-        out = out.union(found)
-    return out
+        out = found if out is None else out.union(found)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import WORD, let, materialise, text_of
+from tallycast.llm.common import WORD, lean, let, materialise, text_of
 
 WEIGHTS = (5.0, 2.0, 1.0)   # by rank of the source, repeating
 MAX_REPEATS = 3
@@ -151,8 +152,12 @@ def shown_blocks(spark, plan: pd.DataFrame, shard_slots: int = SHARD_SLOTS, seed
     for g, r, f, c in draws:
         groups.setdefault(g, []).append((r, f, c, by_rank[r]))
     parts = max(1, min(len(groups), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    fields = ["rank", "first", "count", "n_blocks"]
+    held = [[dict(zip(fields, p, strict=True)) for p in ps] for ps in groups.values()]
+    kind = pa.list_(pa.struct([(f, pa.int64()) for f in fields]))
     drawn = spark.createDataFrame(
-        list(groups.items()), "shard long, parts array<struct<rank:long,first:long,count:long,n_blocks:long>>"
+        pa.table({"shard": pa.array(list(groups), pa.int64()), "parts": pa.array(held, kind)}),
+        "shard long, parts array<struct<rank:long,first:long,count:long,n_blocks:long>>",
     ).repartition(parts)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +172,8 @@ def shown_blocks(spark, plan: pd.DataFrame, shard_slots: int = SHARD_SLOTS, seed
                 yield pd.DataFrame(rows, columns=["shard", "rank", "first", "count", "n_blocks"])
 
     schema = "shard long, rank long, first long, count long, n_blocks long"
-    slots = drawn.mapInPandas(split, schema).select(
+    # dealt out again between the two steps: in one stage every task would hold two Python workers
+    slots = drawn.mapInPandas(lean(split), schema).repartition(parts).select(
         "shard", "rank", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("slot")
     )
 
@@ -177,7 +183,7 @@ def shown_blocks(spark, plan: pd.DataFrame, shard_slots: int = SHARD_SLOTS, seed
             key = (pdf["rank"].to_numpy() * 1_000_003 + slot // n) * 2_654_435_761 + seed
             yield pd.DataFrame({"rank": pdf["rank"], "block": permute(slot % n, n, key)})
 
-    return slots.mapInPandas(place, "rank long, block long").groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
+    return slots.mapInPandas(lean(place), "rank long, block long").groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _overlaps(packed: DataFrame, block_words: int) -> DataFrame:
@@ -197,7 +203,9 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     n_rows = sized.count()
     plan = source_plan(sized, block_words=block_words)
     plan_schema = "rank long, source string, source_size long, target double, n_blocks long, n_slots long"
-    plan_df = spark.createDataFrame([tuple(r) for r in plan.astype(object).itertuples(index=False)], plan_schema)
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+    columns = {c: pa.array(plan[c].astype(object), t, from_pandas=True) for c, t in zip(plan.columns, kinds, strict=True)}
+    plan_df = spark.createDataFrame(pa.table(columns), plan_schema)
     packed = pack(sized, plan_df, n_rows)
     shown = shown_blocks(spark, plan, shard_slots, seed)
     key = ["rank", "start", "doc_id", "source", "size", "tie", "source_size", "target"]

@@ -31,11 +31,12 @@ from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import Scratch, parallelism, text_of, worker_state
+from tallycast.llm.common import Scratch, lean, parallelism, text_of, worker_state
 from tallycast.session import scratch_path
 
 END_ID = 2
@@ -78,9 +79,11 @@ class _Pieces(dict):
 class PieceEncoder:
     """Whole-text ids from the tokenizers library; its model encodes each distinct piece once.
 
-    ``pieces=False`` hands every text to the library whole.
+    ``pieces=False`` hands every text to the library whole; ``most`` replaces CACHE_PIECES.
     """
 
+    most: int | None = None
+
     def __init__(self, path: str, pieces: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -119,7 +122,7 @@ class PieceEncoder:
         other = any(map(text.__contains__, _ASCII_OTHER)) if plain else _OTHER.search(text)
         if not self.pieces or other or self.special.search(text):
             return self.whole(text)
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > (self.most or CACHE_PIECES):
             self.old, self.cache = self.cache, _Pieces(self._piece)
         found = (_ASCII_PIECE if plain else _PIECE).findall(text)
         raw = b"".join(itemgetter(*found)(self.cache)) if len(found) > 1 else b"".join(self.cache[p] for p in found)
@@ -146,11 +149,12 @@ def _batches_of(pdf: pd.DataFrame, chars: int = 4_000_000) -> Iterator[pd.DataFr
 TOKENS = "doc_id long, n_tokens long, ids binary, tie long"
 
 
-def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int, cache_pieces: int | None = None) -> DataFrame:
     """The rows of ``tokenise``, and in rows with ``counts`` the occurrences of every id in a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_path)
+        encoder.most = cache_pieces
         total = np.zeros(1, dtype=np.int64)
         for pdf in batches:
             for part in _batches_of(pdf):
@@ -167,7 +171,7 @@ def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         if total.any():
             yield pd.DataFrame({"doc_id": [None], "n_tokens": [None], "ids": [None], "tie": [None], "counts": [total.tobytes()]})
 
-    return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInPandas(run, TOKENS + ", counts binary")
+    return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInPandas(lean(run), TOKENS + ", counts binary")
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
@@ -210,12 +214,13 @@ def frequency_table(tokenised: DataFrame, scale_bits: int = SCALE_BITS) -> DataF
         yield pd.DataFrame({"token": token, "n": total[token]})
 
     rows = tokenised.filter("counts IS NOT NULL").select("counts") if counted else tokenised.select("ids")
-    counts = rows.mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = rows.mapInPandas(lean(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = sorted((r["token"], r["n"]) for r in counts.collect())  # one row per id of the vocabulary
     tokens = np.array([t for t, _ in rows], dtype=np.int64)
     freq = scale_counts(np.array([n for _, n in rows], dtype=np.int64), scale_bits)
+    # as Arrow: a list would go through Python workers of a kind of its own
     return tokenised.sparkSession.createDataFrame(
-        list(zip(tokens.tolist(), freq.tolist(), strict=True)), "token long, frequency long"
+        pa.table({"token": tokens, "frequency": freq}), "token long, frequency long"
     )
 
 
@@ -342,6 +347,7 @@ def encode(tokenised: DataFrame, table: DataFrame, block_tokens: int = BLOCK_TOK
                 }
             )
 
+        worker_state("rans coder")  # the tokenizer is done and goes
         for pdf in batches:
             coder = coder or Coder(*shared.value)
             shard = int(pdf["shard"].iloc[0]) if len(pdf) else shard
@@ -359,7 +365,7 @@ def encode(tokenised: DataFrame, table: DataFrame, block_tokens: int = BLOCK_TOK
         tokenised.repartitionByRange(parallelism(spark), "doc_id", "tie")  # one id may have many rows
         .sortWithinPartitions("doc_id", "tie", "ids")
         .select("doc_id", "ids", F.spark_partition_id().alias("shard"))
-        .mapInPandas(run, BLOCKS)
+        .mapInPandas(lean(run), BLOCKS)
     )
 
 
@@ -395,6 +401,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = None
+        worker_state("rans coder")
         for pdf in batches:
             coder = coder or Coder(*shared.value)
             for b in pdf.itertuples(index=False):
@@ -412,17 +419,20 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    docs = blocks.mapInPandas(run, "doc_id long, shard int, block int, inner long, n_tokens long, ids_crc32 long")
+    docs = blocks.mapInPandas(lean(run), "doc_id long, shard int, block int, inner long, n_tokens long, ids_crc32 long")
     return docs.join(bases, ["shard", "block"]).select(
         "doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Tokenise, write the files to the scratch folder and read them back."""
+def encode_documents(docs: DataFrame, tokenizer_path: str, cache_pieces: int | None = None) -> DataFrame:
+    """Tokenise, write the files to the scratch folder and read them back.
+
+    ``cache_pieces``: pieces that a worker remembers per generation, if not CACHE_PIECES; fewer take time, not rows.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    tokenised = scratch.store(_tokens(docs, tokenizer_path, END_ID), "tokens")
+    tokenised = scratch.store(_tokens(docs, tokenizer_path, END_ID, cache_pieces), "tokens")
     path = write(tokenised, scratch_path(spark, "rans"))
     scratch.release()
     return read_back(spark, path)

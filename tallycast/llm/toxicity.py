@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import text_of, worker_state
+from tallycast.llm.common import give_back, text_of, worker_state
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -260,6 +260,8 @@ def score_column(spark: SparkSession, model: Model) -> Callable[[Column], Column
         scorer = Scorer(Model(*shared.value))
         for texts in batches:
             yield texts.map(scorer.score).astype(float)
+        del scorer
+        give_back()
 
     return lambda text: scored(text_of(text))
 

@@ -1,10 +1,11 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, clashing columns, empty tables."""
 
 import hashlib
+import re
 
 import pytest
 
-from tallycast.llm import chat, decontaminate, jaccard, mixing, passages, quality, rans, substrings, toxicity, urls
+from tallycast.llm import chat, common, decontaminate, jaccard, mixing, passages, quality, rans, substrings, toxicity, urls
 from tallycast.llm.queries import URL_RULES, tokenizer_path
 
 WORDS = [f"w{i}x{i * i % 97}" for i in range(400)]
@@ -132,6 +133,19 @@ def test_mixing(spark, documents, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_a_task_holds_one_python_worker(spark, documents, capsys):
+    mixing.shown_blocks(spark, mixing.source_plan(mixing.sized_documents(documents(["a b c", "d e"])))).explain()
+    assert re.search(r"MapInPandas.*Exchange.*MapInPandas", capsys.readouterr().out, re.DOTALL)
+
+
+def test_rows_of_the_driver_need_no_python_workers(spark, documents, capsys):
+    docs, bench = (common.materialise(documents(t), "in") for t in (["a b c", "d e"], ["x " * 60]))
+    rans.frequency_table(rans.tokenise(docs, tokenizer_path())).explain()
+    mixing.mix(docs).explain()
+    decontaminate.matches(docs, bench.withColumnRenamed("doc_id", "item_id")).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+
+
 def test_toxicity_tables(spark, documents, empty):
     texts = [f"plain words number {i} stay calm" for i in range(60)] + [f"plain words {i} zqwormish stay" for i in range(30)] + [None, ""]
     docs = documents(texts)

@@ -1,6 +1,7 @@
 """Pure pieces against brute force."""
 
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -139,6 +140,22 @@ def test_a_worker_holds_the_caches_of_one_operator():
     assert common.worker_state("b") == {} == common.worker_state("a")
 
 
+def test_a_tokenizer_is_freed_as_soon_as_another_operator_asks():
+    enc = common.worker_state("rans").setdefault("x", rans.PieceEncoder(tokenizer_path()))
+    enc, held = None, weakref.ref(enc)  # its cache refers to it, so only a collection finds it
+    assert held() is not None
+    common.worker_state("b")
+    assert held() is None
+
+
+def test_memory_is_given_back_at_the_end_of_a_task(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    ran = common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))
+    assert next(ran) == 2 and not given
+    assert list(ran) == [3] and given == [1]
+
+
 def test_coder_looks_states_up_by_plain_indices():
     coder = rans.Coder(np.array([3, 5]), np.array([7, 9]))
     assert coder.slot.dtype == np.intp  # take converts others anew in every row
@@ -159,6 +176,14 @@ def test_pieces_are_looked_up_once_and_encoded_where_missing(monkeypatch):
     assert len(encoded) == len(set(encoded))
 
 
+def test_an_encoder_may_remember_fewer_pieces():
+    enc = rans.PieceEncoder(tokenizer_path())
+    enc.most = 2
+    for text in ("ab cd ef", "gh ij kl", "ab cd ef mn"):
+        assert enc.encode(text).tolist() == enc.whole(text).tolist()
+    assert len(enc.cache) + len(enc.old) == 7
+
+
 def test_ids_stay_in_two_bytes_from_the_pieces_to_the_file():
     enc = rans.PieceEncoder(tokenizer_path())
     ids = enc.ids("two words, 3 numbers\n")
