@@ -188,3 +188,63 @@ def test_large_groups_with_repeated_shingles_are_compared_by_matrices(monkeypatc
     a, b, g = (np.array(v, np.int64) for v in (a, b, g))
     want = passages._roots(a * w + g, b * w + g, n * w)
     assert (passages._roots(x * w + k, y * w + k, n * w) == want).all() and 20 < len(np.unique(want[own.ravel()])) < own.sum()
+
+
+def test_all_windows_of_a_group_are_compared():
+    """Classes are those of brute force over all windows: also around exact repeats, and through windows of one document."""
+    rng = np.random.default_rng(8)
+
+    def words(n):
+        return rng.integers(0, 1 << 40, n).tolist()
+
+    seqs = []
+    for _ in range(12):
+        base = words(100)
+        changed, both, put = list(base), list(base), list(base)
+        changed[20] = both[20] = words(1)[0]
+        both[75] = words(1)[0]
+        put.insert(60, words(1)[0])
+        for p in ([*base, *words(30), *changed], changed, both, put, base[:80], base[15:], [*base[:50], *base[46:50] * 12, *base[50:]]):
+            seqs.append(passages.sequence(" ".join(map(str, [*words(30), *p, *words(30)]))))
+    args = _frames(seqs)
+    group, value, run, doc, last, at, lo, hi, frame = args
+    got = {}
+    for r in passages.solve(*args).itertuples():
+        got |= {(r.value, r.doc, r.lo + i): r.first for i in range(r.begin, r.end + 1)}
+    windows = {}
+    for i, g in enumerate(value):
+        for start in range(lo[i], hi[i] + 1):
+            f = start - at[i] + passages.WIDTH - 1
+            windows.setdefault((g, f), []).append((doc[i], start, set(frame[i, f : f + passages.WIDTH].tolist())))
+    want = {}
+    for (g, _), held in windows.items():
+        a, b = np.array([(i, j) for i, x in enumerate(held) for j, y in enumerate(held[:i]) if 100 * len(x[2] & y[2]) >= 80 * len(x[2] | y[2])], int).reshape(-1, 2).T
+        root = passages._roots(a, b, len(held))
+        for r in np.unique(root):
+            docs = {held[i][0] for i in np.flatnonzero(root == r)}
+            if len(docs) > 1:
+                want |= {(g, held[i][0], held[i][1]): min(docs) for i in np.flatnonzero(root == r)}
+    assert got == want and len(want) > 1000
+
+
+def test_long_lists_of_near_windows_are_compared_whole():
+    """Many windows of the same commonest shingles: some next to a clean one, others linked in pairs only."""
+    rng = np.random.default_rng(9)
+    n, w, frames = 700, passages.WIDTH, passages.FRAME
+    frame = np.tile(np.arange(frames), (n, 1)).astype(np.uint32)
+    for i in range(n):
+        at = rng.integers(0, 40)
+        frame[i, at : at + (5 if i % 2 else 6)] = 1000 + 10 * (i // 4 if i % 4 < 3 else i) + np.arange(5 if i % 2 else 6)
+    own = np.zeros((n, w), bool)
+    own[:, 10:13] = True
+    zeros, number = np.zeros(n, np.int64), np.arange(n)
+    for clean in (False, True):
+        if clean:
+            frame[n // 2] = np.arange(frames)
+        x, y, k = passages._near_pairs(zeros, zeros, number, number, number, frame, own)
+        for f in range(10, 13):
+            sets = np.stack([np.isin(np.arange(20_000), r[f : f + w]) for r in frame]).astype(np.float32)
+            inter, size = sets @ sets.T, sets.sum(axis=1)
+            a, b = np.nonzero(180 * inter >= 80 * (size[:, None] + size))
+            want = passages._roots(a, b, n)
+            assert (passages._roots(x[k == f], y[k == f], n) == want).all() and 20 < len(np.unique(want)) < n
