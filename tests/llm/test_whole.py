@@ -1,5 +1,7 @@
 """Cases in which a part of the job was once left out."""
 
+import time
+
 import numpy as np
 
 import corpus_pipeline
@@ -248,3 +250,20 @@ def test_long_lists_of_near_windows_are_compared_whole():
             a, b = np.nonzero(180 * inter >= 80 * (size[:, None] + size))
             want = passages._roots(a, b, n)
             assert (passages._roots(x[k == f], y[k == f], n) == want).all() and 20 < len(np.unique(want)) < n
+
+
+def test_work_on_a_group_follows_its_frames():
+    """A common line in 20,000 surroundings: only windows that may be near to others are compared."""
+    rng = np.random.default_rng(10)
+    n, w, frames = 20_000, passages.WIDTH, passages.FRAME
+    frame = rng.integers(0, 1 << 32, (n, frames)).astype(np.uint32)
+    frame[:, 30:55] = np.arange(25)
+    frame[1::1000] = frame[::1000]
+    frame[1::1000, 20] = 7
+    own = np.zeros((n, w), bool)
+    own[:, 18:30] = True
+    zeros, number = np.zeros(n, np.int64), np.arange(n)
+    began = time.process_time()
+    x, y, k = passages._near_pairs(zeros, zeros, number, number, number, frame, own)
+    assert time.process_time() - began < 10
+    assert set(zip(x // 1000, y // 1000, k, strict=True)) == {(i, i, f) for i in range(20) for f in range(18, 30)}
